@@ -1,11 +1,16 @@
 """Helpers that the training-data operators share."""
 
+import pickle
+import sys
 import tempfile
+import types
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -94,3 +99,17 @@ class Bloom:
             at = (keys >> np.uint64(s)) & np.uint64(self.BITS - 1)
             out &= (self.words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
         return out
+
+
+def per_process(key: str, make: Callable[[], Any]) -> Any:
+    """What make() returned when a Python worker first asked for this key; later tasks of the worker get the same."""
+    held = sys.modules.setdefault("millrace_worker_state", types.ModuleType("millrace_worker_state")).__dict__
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
+def sent(spark: SparkSession, value: Any) -> Callable[[], Any]:
+    """Broadcast a value of bounded size with the classes of this package; tasks call the result to get it."""
+    held = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(held.value)
