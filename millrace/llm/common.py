@@ -37,19 +37,29 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Folders that stored() has written in this process, oldest first.
+WRITTEN: list[str] = []
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """df written to the shared folder and read back: lineage is cut and nothing is computed twice."""
+    """df written to the shared folder and read back: lineage is cut and nothing is computed twice.
+
+    Executors may be lost after that: the files stay. They remain until remove() or the cluster's
+    own clearing of the folder, since a lazy result may still need them.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/millrace/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def clear_stored(spark: SparkSession) -> None:
-    """Remove what stored() wrote in this application, once no result that reads it is in use."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/millrace/{spark.sparkContext.applicationId}")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Delete folders of stored() that nothing reads any more."""
+    for p in paths:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        WRITTEN.remove(p)
 
 
 def ascii_lower(text: Column) -> Column:

@@ -5,11 +5,15 @@ from millrace.llm.decontaminate import OP9_SQL, op9_decontaminate
 from millrace.llm.fingerprint import op10_fingerprint
 from millrace.llm.html_extract import op8_html
 from millrace.llm.licenses import OP4_SQL, op4_licenses
+from millrace.llm.line_dedup import OP1_SQL, op1_line_dedup
+from millrace.llm.near_duplicates import OP2_SQL, op2_near_duplicates
 from millrace.llm.sentencepiece_codec import op5_sentencepiece
 from millrace.llm.sharding import op6_shards
 from millrace.llm.toxicity import op7_toxicity
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
+    "op2_near_duplicates": op2_near_duplicates,
     "op3_chat": op3_chat,
     "op4_licenses": op4_licenses,
     "op5_sentencepiece": op5_sentencepiece,
@@ -22,6 +26,8 @@ QUERIES = {
 
 #: The others have no SQL form; tests/llm holds them against brute force, round trips or held-out labels.
 SQL = {
+    "op1_line_dedup": OP1_SQL,
+    "op2_near_duplicates": OP2_SQL,
     "op3_chat": OP3_SQL,
     "op4_licenses": OP4_SQL,
     "op9_decontaminate": OP9_SQL,
