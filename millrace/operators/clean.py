@@ -41,13 +41,18 @@ class Options:
     unicode: bool = True
 
 
+def _rewritten(sections: DataFrame, content: Column) -> DataFrame:
+    """sections with new content, computed once: a generator keeps the optimiser from copying the expression into later filters and cleaners."""
+    return sections.withColumn("content", F.explode(F.array(content)))
+
+
 def _lines(content: Column, keep: Callable[[Column], Column]) -> Column:
     return strip(F.array_join(F.filter(F.split(content, "\n"), keep), "\n"))
 
 
 def _drop_lines(sections: DataFrame, passed: list[str], keep: Callable[[Column], Column]) -> DataFrame:
     """Sections of the passed types stay as they are; others lose lines, and go if nothing is left."""
-    out = sections.withColumn("content", F.when(F.col("type").isin(passed), F.col("content")).otherwise(_lines(F.col("content"), keep)))
+    out = _rewritten(sections, F.when(F.col("type").isin(passed), F.col("content")).otherwise(_lines(F.col("content"), keep)))
     return out.where(F.col("type").isin(passed) | (F.col("content") != ""))
 
 
@@ -62,7 +67,7 @@ def _none_of(patterns: list[str]) -> Callable[[Column], Column]:
 
 
 def normalize(sections: DataFrame, opts: Options) -> DataFrame:
-    out = sections.withColumn("content", normalize_block(F.col("content"), opts.unicode))
+    out = _rewritten(sections, normalize_block(F.col("content"), opts.unicode))
     return out.where((F.col("content") != "") | (F.col("type") == "heading"))
 
 
@@ -84,12 +89,11 @@ def boilerplate_lines(sections: DataFrame, opts: Options) -> DataFrame:
     The threshold is floor(sections * ratio) in double arithmetic, boilerplate_least at least; sources
     of fewer than three sections have none.
     """
-    sizes = sections.groupBy("source_id").agg(F.count("*").alias("n")).where("n >= 3")
-    lines = sections.where(~F.col("type").isin(FIXED)).select("source_id", F.explode(F.array_distinct(F.transform(F.split("content", "\n"), lambda x: strip(x)))).alias("key"))
+    sized = sections.withColumn("n", F.count("*").over(Window.partitionBy("source_id"))).where("n >= 3")
+    lines = sized.where(~F.col("type").isin(FIXED)).select("source_id", "n", F.explode(F.array_distinct(F.transform(F.split("content", "\n"), lambda x: strip(x)))).alias("key"))
     lines = lines.where((F.col("key") != "") & (F.length("key") <= opts.boilerplate_line))
-    counted = lines.groupBy("source_id", "key").agg(F.count("*").alias("c"))
     least = F.greatest(F.lit(opts.boilerplate_least).cast("long"), F.floor(F.col("n") * F.lit(float(opts.boilerplate_ratio))))
-    return counted.join(sizes, "source_id").where(F.col("c") >= least).select("source_id", "key")
+    return lines.groupBy("source_id", "n", "key").agg(F.count("*").alias("c")).where(F.col("c") >= least).select("source_id", "key")
 
 
 def boilerplate(sections: DataFrame, opts: Options) -> DataFrame:
@@ -97,12 +101,12 @@ def boilerplate(sections: DataFrame, opts: Options) -> DataFrame:
     found = boilerplate_lines(sections, opts).groupBy("source_id").agg(F.collect_set("key").alias("_keys"))  # fewer than 1 / ratio lines a section
     out = sections.join(found, "source_id", "left")
     hit = F.col("_keys").isNotNull() & ~F.col("type").isin(FIXED)
-    out = out.withColumn("content", F.when(hit, _lines(F.col("content"), lambda x: ~F.array_contains("_keys", strip(x)))).otherwise(F.col("content")))
+    out = _rewritten(out, F.when(hit, _lines(F.col("content"), lambda x: ~F.array_contains("_keys", strip(x)))).otherwise(F.col("content")))
     return out.where(~hit | (F.col("content") != "") | (F.col("type") == "heading")).drop("_keys")
 
 
 def dehyphenate(sections: DataFrame, opts: Options) -> DataFrame:
-    return sections.withColumn("content", F.when(F.col("type") == "code_block", F.col("content")).otherwise(F.regexp_replace("content", HYPHENATED, "$1$3")))
+    return _rewritten(sections, F.when(F.col("type") == "code_block", F.col("content")).otherwise(F.regexp_replace("content", HYPHENATED, "$1$3")))
 
 
 def merge_fragments(sections: DataFrame, opts: Options) -> DataFrame:
@@ -116,20 +120,20 @@ def merge_fragments(sections: DataFrame, opts: Options) -> DataFrame:
     rows = sections.withColumn("_solid", solid)
     same = F.col("heading_path").eqNullSafe(F.lag("heading_path").over(order)) & F.col("location").eqNullSafe(F.lag("location").over(order)) & ~F.lag("_solid").over(order) & ~F.col("_solid")
     rows = rows.withColumn("_same", F.coalesce(same, F.lit(False))).withColumn("_run", F.sum((~F.col("_same")).cast("int")).over(order))
-    keep = ["block_id", "type", "heading_path", "content", "level", "location", "metadata"]
-    runs = rows.groupBy("source_id", "_run").agg(F.array_sort(F.collect_list(F.struct("block_id", "content"))).alias("xs"))
-    item = runs.schema["xs"].dataType.elementType.simpleString()
+    fields = ["block_id", "type", "heading_path", "content", "level", "location", "metadata"]
+    runs = rows.groupBy("source_id", "_run").agg(F.array_sort(F.collect_list(F.struct(*fields)), lambda a, b: a["block_id"] - b["block_id"]).alias("xs"))
+    item = runs.schema["xs"].dataType.simpleString()
 
     def step(acc: Column, x: Column) -> Column:
         last = F.element_at(acc, -1)
         open_ = (F.length(last["content"]) < opts.merge_threshold) | ~rstrip(last["content"]).rlike(SENTENCE_END)
         joined = strip(F.concat(F.regexp_replace(last["content"], r"-+\z", ""), F.when(F.endswith(last["content"], F.lit("-")), F.lit("")).otherwise(F.lit(" ")), x["content"]))
-        merged = F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(last["block_id"].alias("block_id"), joined.alias("content"))))
+        merged = F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(last.withField("content", joined)))
         return F.when((F.size(acc) > 0) & open_, merged).otherwise(F.concat(acc, F.array(x)))
 
-    folded = runs.select("source_id", F.explode(F.aggregate("xs", F.array().cast(f"array<{item}>"), step)).alias("x")).select("source_id", F.col("x.block_id").alias("block_id"), F.col("x.content").alias("_content"))
-    out = sections.select("source_id", *keep).join(folded, ["source_id", "block_id"]).withColumn("content", F.col("_content")).drop("_content")
-    return out.where(F.col("type").isin([*FIXED, "heading"]) | (F.col("content") != "")).select("source_id", *keep)
+    folded = F.aggregate("xs", F.array().cast(item), step)
+    out = runs.select("source_id", F.inline(F.when(F.size("xs") == 1, F.col("xs")).otherwise(folded)))
+    return out.where(F.col("type").isin([*FIXED, "heading"]) | (F.col("content") != "")).select("source_id", *fields)
 
 
 def dedupe(sections: DataFrame, opts: Options) -> DataFrame:

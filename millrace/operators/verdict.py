@@ -15,12 +15,15 @@ def verdicts(documents: DataFrame, sections: DataFrame) -> DataFrame:
     """documents (source_id and, where known, page_count, is_scanned, warnings, blocks_before, blocks_removed) with verdict and verdict_reasons.
 
     The first rule that holds decides: nothing extracted, too little text for the pages, then whatever
-    makes it degraded. Lengths alone are read from sections.
+    makes it degraded. Lengths alone are read from sections. Where only blocks_before is given, the
+    sections that are left tell how many cleaning removed.
     """
     kinds = {"page_count": "int", "is_scanned": "boolean", "warnings": "array<string>", "blocks_before": "long", "blocks_removed": "long"}
     docs = documents.select(*documents.columns, *(F.lit(None).cast(k).alias(c) for c, k in kinds.items() if c not in documents.columns))
     sizes = sections.groupBy("source_id").agg(F.count("*").alias("n_sections"), F.sum(F.length("content")).alias("total_chars"))
     docs = docs.join(sizes, "source_id", "left").withColumns({"n_sections": F.coalesce("n_sections", F.lit(0)), "total_chars": F.coalesce("total_chars", F.lit(0))})
+    if "blocks_before" in documents.columns and "blocks_removed" not in documents.columns:
+        docs = docs.withColumn("blocks_removed", F.col("blocks_before") - F.col("n_sections"))
     per_page = F.col("total_chars") / F.col("page_count")
     empty = F.col("n_sections") == 0
     sparse = (F.col("page_count") > 1) & (per_page < CHARS_PER_PAGE)

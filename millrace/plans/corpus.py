@@ -42,6 +42,8 @@ def parse(files: DataFrame, ocr: str | None = None) -> Parsed:
     spark = files.sparkSession
     known = formats.identify(files)
     of = lambda *f: known.where(F.col("family").isin(*f))
+    paths = known.select(F.col("source_id").alias("_id"), F.col("source").alias("path"))
+    by_path = lambda failed: failed.join(paths, F.col("source") == F.col("_id")).select(F.col("path").alias("source"), "error", "kind")
     text = of("plain", "markdown", "delimited", "json", "yaml", "code").withColumn("raw", structured.decode(F.col("content")))
     sections, warnings = [], []
     raw = lambda *exts: text.where(F.col("format_type").isin(*exts))
@@ -59,12 +61,12 @@ def parse(files: DataFrame, ocr: str | None = None) -> Parsed:
         elements = office.read_elements(of(family), family)
         sections.append(office.office_blocks(elements))
         warnings.append(office.office_warnings(elements))
-        failures.append(office.office_failures(elements))
+        failures.append(by_path(office.office_failures(elements)))
     for family, package in (("pdf", "pdfplumber"), ("image", "paddleocr")):
         if family in ENGINES:
             elements = ENGINES[family](of(family))
             sections.append(office.office_blocks(elements))
-            failures.append(office.office_failures(elements))
+            failures.append(by_path(office.office_failures(elements)))
         else:
             said = F.concat(F.lit("Format '"), "format_type", F.lit(f"' requires the '{package}' package, which is not installed. Install it with: pip install {package}"))
             failures.append(of(family).select("source", said.alias("error"), F.lit("missing_dependency").alias("kind")))
@@ -112,7 +114,7 @@ def build(parsed: Parsed, policy: Policy = Policy()) -> Corpus:
     docs = parsed.documents if policy.only is None else parsed.documents.where(F.col("source_id").isin(*policy.only))
     cleaned = clean.clean(parsed.sections, policy.cleaning, names).persist()  # verdict, chunks and summaries all read it
     stats = clean.cleaning_stats(parsed.sections, policy.cleaning, names) if policy.audit else clean.removals(parsed.sections, cleaned)
-    judged = verdict.verdicts(docs.join(stats, "source_id", "left"), cleaned)
+    judged = verdict.verdicts(docs.join(stats, "source_id", "left"), cleaned).persist()  # a row per document; gate, catalogue, queue and report read it
     good, _ = verdict.gate(judged)
     kept = cleaned.join(good.select("source_id"), "source_id", "left_semi")
     chunks, summaries = chunk.chunks(kept), summarize.summaries(kept)

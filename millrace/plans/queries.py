@@ -951,5 +951,5 @@ def clean_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
     raw = line_blocks(spark, sf_dir)
     cleaned = cl.clean(raw, cl.Options(unicode=False))  # the tables hold NFKC text; tests cover normalisation itself
-    docs = d.select(F.col("doc_id").cast("string").alias("source_id"), "source").join(cl.removals(raw, cleaned), "source_id", "left")
+    docs = d.select(F.col("doc_id").cast("string").alias("source_id"), "source").join(raw.groupBy("source_id").agg(F.count("*").alias("blocks_before")), "source_id", "left")
     return vd.verdicts(docs, cleaned).groupBy("source", "verdict").agg(F.count("*").alias("documents"), F.sum("total_chars").cast("long").alias("chars"))
