@@ -65,7 +65,16 @@ class Vectors:
 
 
 class BlockMaxIndex:
-    """Exact top-k by inner product. A term's list holds, for each block of examples, the largest weight and all weights."""
+    """Exact top-k by inner product. A term's list holds, for each block of examples, the largest weight and all weights.
+
+    Many queries are answered at once: a block is scored for those queries only whose upper bound for
+    it is above their k-th best so far.
+    """
+
+    #: Blocks of the first look, for each query those of the highest bounds.
+    FIRST = 8
+    #: Similarities this close count as equal and go by number.
+    CLOSE = 1e-5
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], size: int):
         self.n = len(vectors)
@@ -73,24 +82,53 @@ class BlockMaxIndex:
         self.weights = np.zeros((blocks, size, BLOCK), np.float32)
         for d, (at, w) in enumerate(vectors):
             self.weights[d // BLOCK, at, d % BLOCK] = w
-        self.largest = self.weights.max(2).T.astype(np.float64).copy()
-
-    def nearest(self, at: np.ndarray, w: np.ndarray, k: int, but: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers and similarities of the k nearest examples, ties by number; `but` is left out."""
-        bound = w @ self.largest[at] + 1e-6
-        order = np.argsort(-bound, kind="stable")
-        w32 = w.astype(np.float32)
-        best_d, best_s, done, step = np.empty(0, np.int64), np.empty(0), 0, 4
-        while done < len(order) and (len(best_s) < k or best_s[-1] < bound[order[done]]):
-            some = order[done : done + step]
-            s = np.einsum("t,btd->bd", w32, self.weights[some][:, at]).astype(np.float64)
-            d = some[:, None] * BLOCK + np.arange(BLOCK)
-            ok = (s > 0) & (d != but)
-            best_d, best_s = np.concatenate([best_d, d[ok]]), np.concatenate([best_s, s[ok]])
-            top = np.lexsort((best_d, -np.round(best_s, 6)))[:k]
-            best_d, best_s = best_d[top], best_s[top]
-            done, step = done + step, step * 2
-        return best_d, best_s
+        self.largest = np.ascontiguousarray(self.weights.max(2).T)
+
+    def _look(self, queries: np.ndarray, mask: np.ndarray, least: np.ndarray, but: np.ndarray) -> list[np.ndarray]:
+        """(query, example, similarity) of what lies in the masked blocks and isn't below `least`."""
+        found: list[tuple[np.ndarray, ...]] = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.float32))]
+        for b in range(len(self.weights)):
+            own = np.flatnonzero(mask[:, b])
+            if len(own):
+                s = queries[own] @ self.weights[b]
+                d = b * BLOCK + np.arange(BLOCK)
+                i, j = np.nonzero((s > 0) & (s >= least[own, None] - self.CLOSE) & (d != but[own, None]))
+                found.append((own[i], d[j], s[i, j]))
+        return [np.concatenate(x) for x in zip(*found)]
+
+    @staticmethod
+    def _top(q: np.ndarray, d: np.ndarray, s: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        order = np.lexsort((d, -np.round(s, 5), q))
+        q, d, s = q[order], d[order], s[order]
+        kept = np.arange(len(q)) - np.searchsorted(q, q) < k
+        return q[kept], d[kept], s[kept]
+
+    def nearest(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int, but: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query numbers and similarities of the k nearest examples, ties by number; `but` of each is left out."""
+        n = len(vectors)
+        queries = np.zeros((n, len(self.largest)), np.float32)
+        for i, (at, w) in enumerate(vectors):
+            queries[i, at] = w
+        out_of = np.full(n, -1) if but is None else np.array(but)
+        bound = queries @ self.largest + 2 * self.CLOSE
+        first = np.zeros(bound.shape, bool)
+        np.put_along_axis(first, np.argsort(-bound, axis=1, kind="stable")[:, : self.FIRST], True, 1)
+        # the k-th best of the first look is what another block must be able to beat
+        ranks = np.argsort(~first, axis=1, kind="stable")[:, : self.FIRST]
+        seen = np.zeros((n, ranks.shape[1], BLOCK), np.float32)
+        for b in range(len(self.weights)):
+            own, slot = np.nonzero(ranks == b)
+            if len(own):
+                seen[own, slot] = queries[own] @ self.weights[b]
+        numbers = ranks[:, :, None] * BLOCK + np.arange(BLOCK)
+        seen[numbers == out_of[:, None, None]] = 0
+        flat = seen.reshape(n, -1)
+        least = np.partition(flat, flat.shape[1] - k, axis=1)[:, flat.shape[1] - k] if flat.shape[1] >= k else np.zeros(n, np.float32)
+        i, j = np.nonzero((flat > 0) & (flat >= least[:, None] - self.CLOSE))
+        more = self._look(queries, (bound > least[:, None]) & ~first, least, out_of)
+        q, d, s = self._top(*(np.concatenate(x) for x in zip((i, numbers.reshape(n, -1)[i, j], flat[i, j]), more)), k)
+        cut = np.searchsorted(q, np.arange(n + 1))
+        return [(d[a:b], s[a:b].astype(float)) for a, b in zip(cut[:-1], cut[1:])]
 
 
 class Model:
@@ -110,7 +148,10 @@ class Model:
         self.bare = float((w @ np.array(bare) + self.prior) / (w.sum() + 1)) if got else self.prior
         self.slope, self.shift = 1.0, 0.0
         if got[0] and got[1] and own:
-            x = np.array([self._logit(self.vote(at, v, n)[0]) for n, (_, _, (at, v)) in enumerate(own)])
+            votes = []
+            for at in range(0, len(own), 512):
+                votes += self.votes([e[2] for e in own[at : at + 512]], list(range(at, min(at + 512, len(own)))))
+            x = np.array([self._logit(v[0]) for v in votes])
             self._calibrate(x, self.y, self.worth[self.y.astype(int)])
 
     @staticmethod
@@ -129,20 +170,24 @@ class Model:
             b = b + np.linalg.solve(hess, grad)
         self.slope, self.shift = max(0.1, float(b[0])), float(b[1])
 
-    def vote(self, at: np.ndarray, w: np.ndarray, but: int = -1) -> tuple[float, np.ndarray, np.ndarray]:
-        d, s = self.index.nearest(at, w, NEIGHBOURS, but)
-        y = self.y[d]
-        v = s**POWER * self.worth[y.astype(int)]
-        return float((v @ y + 1e-3 * self.prior) / (v.sum() + 1e-3)), d, s
+    def votes(self, vectors: list[tuple[np.ndarray, np.ndarray]], but: list[int] | None = None) -> list[tuple[float, np.ndarray, np.ndarray]]:
+        out = []
+        for d, s in self.index.nearest(vectors, NEIGHBOURS, but):
+            y = self.y[d]
+            v = s**POWER * self.worth[y.astype(int)]
+            out.append((float((v @ y + 1e-3 * self.prior) / (v.sum() + 1e-3)), d, s))
+        return out
 
-    def score(self, text: str) -> tuple[float, str]:
-        """Calibrated score and evidence: the three nearest examples' ids with similarity."""
-        counts = self.vectors.counts(text) if self.ids else {}
-        if not counts:
-            return self.bare, ""
-        p, d, s = self.vote(*self.vectors.vector(counts))
-        z = self.slope * self._logit(p) + self.shift
-        return 1 / (1 + exp(-max(-30.0, min(30.0, z)))), " ".join(f"{self.ids[i]}:{x:.3f}" for i, x in zip(d[:3].tolist(), s[:3].tolist()))
+    def scores(self, rows: list[str]) -> list[tuple[float, str]]:
+        """Calibrated score and evidence of each text: the three nearest examples' ids with similarity."""
+        out = [(self.bare, "")] * len(rows)
+        counts = [self.vectors.counts(t) for t in rows] if self.ids else []
+        some = [i for i, c in enumerate(counts) if c]
+        for i, (p, d, s) in zip(some, self.votes([self.vectors.vector(counts[i]) for i in some]) if some else [], strict=True):
+            z = self.slope * self._logit(p) + self.shift
+            evidence = " ".join(f"{self.ids[k]}:{x:.3f}" for k, x in zip(d[:3].tolist(), s[:3].tolist()))
+            out[i] = (1 / (1 + exp(-max(-30.0, min(30.0, z)))), evidence)
+        return out
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, vocabulary: int = VOCABULARY) -> Model:
@@ -199,9 +244,9 @@ def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text") -> Dat
     get = sent(docs.sparkSession, model)  # its size is bounded by per_class and vocabulary
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        score = get().score
+        model = get()
         for part in batches:
-            got = [score(t or "") for t in part.to_pylist()]
+            got = [x for at in range(0, len(part), 512) for x in model.scores([t or "" for t in part.slice(at, 512).to_pylist()])]
             yield pa.StructArray.from_arrays([pa.array([s for s, _ in got], pa.float64()), pa.array([e for _, e in got], pa.string())], ["score", "evidence"])
 
     return docs.withColumn("toxicity", F.arrow_udf(run, "score double, evidence string")(F.col(text_col)))
