@@ -84,9 +84,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text")
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of docs with hit words cut from contaminated texts; words of those are joined by one space."""
-    inside = docs.select(F.struct(*docs.columns).alias("_doc"), F.col(text_col).alias("_text"), words(F.col(text_col)).alias("_w"))
-    got = scan(inside, benchmark, ["_doc", "_w"], "_text")
-    left = F.array_join(F.filter("_w", lambda w, i: ~F.exists("spans", lambda s: (s["at"] <= i) & (i < s["to"]))), " ")
+    inside = docs.select(F.struct(*docs.columns).alias("_doc"), F.col(text_col).alias("_text"), words(F.col(text_col)).alias("_said"))
+    got = scan(inside, benchmark, ["_doc", "_said"], "_text")
+    left = F.array_join(F.filter("_said", lambda w, i: ~F.exists("spans", lambda s: (s["at"] <= i) & (i < s["to"]))), " ")
     return got.select(*(F.when(contaminated(), left).otherwise(F.col(f"_doc.{c}")).alias(c) if c == text_col else F.col(f"_doc.{c}") for c in docs.columns))
 
 

@@ -139,6 +139,7 @@ class Codec:
             surface.append(bytes([byte[i]]) if k == BYTE else b"" if k == CONTROL else m.unk_surface.encode() if k == UNKNOWN else p.replace(MARK, " ").encode())
         self.surface, self.bytes = pa.array(surface, pa.binary()), frozenset(byte)
         self.byte_of = np.isin(np.arange(len(surface)), list(byte))
+        self.silent = np.array([k == CONTROL for k in m.kinds])
         self.starts = np.array([p.startswith(MARK) for p in m.pieces])
         self.normal_ids = {p: i for i, (p, k) in enumerate(zip(m.pieces, m.kinds)) if k == NORMAL}
         # merges are ranked by score; where several pieces share one, the leftmost goes first, which ranks can't say
@@ -241,6 +242,8 @@ class Codec:
                 text = data.decode()
             except UnicodeDecodeError:
                 text = self._decode_bytes(own)
+            if strip and len(own) and self.silent[own[0]]:  # control pieces say nothing: the text begins after them
+                own = own[np.argmin(self.silent[own]) :]
             out.append(text[1:] if strip and len(own) and self.starts[own[0]] else text)
         return out
 
