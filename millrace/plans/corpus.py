@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from millrace.functions.text import strip, word_count
 from millrace.operators import catalog as cat
 from millrace.operators import chunk, clean, layout, summarize, verdict
-from millrace.schema import FAILURE, SECTION
+from millrace.schema import SECTION
 from millrace.sources import blocks, formats, office, structured, web
 
 
@@ -42,27 +42,37 @@ def parse(files: DataFrame, ocr: str | None = None) -> Parsed:
     spark = files.sparkSession
     known = formats.identify(files)
     of = lambda *f: known.where(F.col("family").isin(*f))
+    found = {r[0] for r in known.select("format_type").distinct().collect()}  # at most the supported ones matter; absent formats get no branch
+    has = lambda *exts: not found.isdisjoint(exts)
     paths = known.select(F.col("source_id").alias("_id"), F.col("source").alias("path"))
     by_path = lambda failed: failed.join(paths, F.col("source") == F.col("_id")).select(F.col("path").alias("source"), "error", "kind")
     text = of("plain", "markdown", "delimited", "json", "yaml", "code").withColumn("raw", structured.decode(F.col("content")))
-    sections, warnings = [], []
     raw = lambda *exts: text.where(F.col("format_type").isin(*exts))
-    sections.append(blocks.plain_blocks(raw(*formats.FAMILIES["plain"])))
-    sections.append(blocks.markdown_blocks(raw(*formats.FAMILIES["markdown"])))
-    sections.append(blocks.code_blocks(raw(*formats.FAMILIES["code"])))
-    sections += [structured.delimited_blocks(raw("csv")), structured.delimited_blocks(raw("tsv"), "\t")]
-    for got, warned in (structured.json_blocks(raw("json")), structured.json_line_blocks(raw("jsonl", "ndjson")), structured.yaml_blocks(raw("yaml", "yml"))):
-        sections.append(got)
-        warnings.append(warned)
-    page = of("web").withColumn("html", structured.decode(F.col("content"), lenient=True))
-    sections.append(web.page_blocks(page.select("source_id", "html")))
+    sections, warnings = [spark.createDataFrame([], SECTION)], [spark.createDataFrame([], "source_id string, warning string")]
     failures = [formats.unsupported(known)]
+    for family, read in (("plain", blocks.plain_blocks), ("markdown", blocks.markdown_blocks), ("code", blocks.code_blocks)):
+        if has(*formats.FAMILIES[family]):
+            sections.append(read(raw(*formats.FAMILIES[family])))
+    for ext, delimiter in (("csv", ","), ("tsv", "\t")):
+        if has(ext):
+            sections.append(structured.delimited_blocks(raw(ext), delimiter))
+    for exts, read in ((("json",), structured.json_blocks), (("jsonl", "ndjson"), structured.json_line_blocks), (("yaml", "yml"), structured.yaml_blocks)):
+        if has(*exts):
+            got, warned = read(raw(*exts))
+            sections.append(got)
+            warnings.append(warned)
+    page = of("web").withColumn("html", structured.decode(F.col("content"), lenient=True))
+    if has(*formats.FAMILIES["web"]):
+        sections.append(web.page_blocks(page.select("source_id", "html")))
     for family in ("word", "sheet", "slides"):
-        elements = office.read_elements(of(family), family)
-        sections.append(office.office_blocks(elements))
-        warnings.append(office.office_warnings(elements))
-        failures.append(by_path(office.office_failures(elements)))
+        if has(*formats.FAMILIES[family]):
+            elements = office.read_elements(of(family), family)
+            sections.append(office.office_blocks(elements))
+            warnings.append(office.office_warnings(elements))
+            failures.append(by_path(office.office_failures(elements)))
     for family, package in (("pdf", "pdfplumber"), ("image", "paddleocr")):
+        if not has(*formats.FAMILIES[family]):
+            continue
         if family in ENGINES:
             elements = ENGINES[family](of(family))
             sections.append(office.office_blocks(elements))
@@ -76,10 +86,11 @@ def parse(files: DataFrame, ocr: str | None = None) -> Parsed:
     notes = warned.groupBy("source_id").agg(F.collect_list("warning").alias("warnings"))
     stats = every.groupBy("source_id").agg(F.sum(word_count(F.col("content"))).alias("word_count"), F.bool_or(F.col("type") == "heading").alias("has_headings"), F.count("*").alias("total_blocks_extracted"))
     good = known.where("family IS NOT NULL").join(failed.select("source"), "source", "left_anti").select("source_id", F.col("source").alias("source_path"), "format_type", "filename")
-    docs = good.join(stats, "source_id", "left").join(notes, "source_id", "left").join(titles, "source_id", "left")
+    docs = good.join(stats, "source_id", "left").join(notes, "source_id", "left")
+    docs = docs.join(titles, "source_id", "left") if has(*formats.FAMILIES["web"]) else docs.withColumn("web_title", F.lit(None).cast("string"))
     docs = docs.withColumn("title", F.coalesce("web_title", F.regexp_replace("filename", r"(?<=.)\.[^.]+\z", ""))).drop("web_title")
     docs = docs.withColumns({"word_count": F.coalesce("word_count", F.lit(0)), "has_headings": F.coalesce("has_headings", F.lit(False)), "warnings": F.coalesce("warnings", F.array().cast("array<string>"))})
-    return Parsed(every if sections else spark.createDataFrame([], SECTION), docs, failed if failures else spark.createDataFrame([], FAILURE), warned)
+    return Parsed(every, docs, failed, warned)
 
 
 @dataclass

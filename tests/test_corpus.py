@@ -1,7 +1,7 @@
 import json
 
 from millrace import cli, sinks
-from millrace.operators import catalog, retrieve
+from millrace.operators import retrieve
 from millrace.plans import corpus
 from millrace.sources import formats
 from millrace.streaming import ingest
@@ -10,56 +10,51 @@ REPORT = "# Supplier Report\n\nSupplier admission requires a payment-term review
 OAUTH = "# OAuth Guide\n\nRequest a token first.\n\n## Expiry\n\nAccess tokens expire after 3600 seconds, until renewed.\n"
 
 
-def folder(tmp_path):
-    for name, text in {"supplier-report.md": REPORT, "oauth-guide.md": OAUTH, "metrics.csv": "name,value\nlatency,12\n", "blank.md": "  \n", "archive.xyz": "?", "broken.docx": "PK"}.items():
-        (tmp_path / name).write_text(text)
+def put(tmp_path, **files):
+    for name, text in files.items():
+        (tmp_path / name.replace("_", ".").replace("0", "-")).write_text(text)
     return str(tmp_path)
 
 
 def test_both_tiers(spark, tmp_path):
-    got = corpus.run(spark, folder(tmp_path))
+    got = corpus.run(spark, put(tmp_path, supplier_md=REPORT, oauth_md=OAUTH, blank_md="  \n", archive_xyz="?"))
     names = {r.filename: r for r in got.documents.collect()}
-    assert names["blank.md"].verdict == "unusable" and names["oauth-guide.md"].verdict == "ok"
-    assert got.catalog.count() == 3
-    assert {r.reason for r in got.review_queue.collect()} == {"unusable", "failed"} and got.failures.count() == 2
-    assert catalog.unreachable(got.catalog, got.chunks).isEmpty() and catalog.invisible(got.catalog, got.chunks).isEmpty() and catalog.in_both(got.catalog, got.review_queue).isEmpty()
+    assert names["blank.md"].verdict == "unusable" and names["oauth.md"].verdict == "ok"
+    entries, chunks = got.catalog.collect(), got.chunks.collect()
+    assert {e.source_id for e in entries} == {c.source_id for c in chunks} == {names[n].source_id for n in ("supplier.md", "oauth.md")}
+    assert {r.reason for r in got.review_queue.collect()} == {"unusable", "failed"}
     q = spark.createDataFrame([(1, "What are the supplier admission and payment-term requirements?"), (2, "How long until access tokens expire?")], "question_id int, question string")
-    top = {r.question_id: r for r in retrieve.ranked(retrieve.broad(q, got.catalog), "source_id", 1).collect()}
-    assert top[1].source_id == names["supplier-report.md"].source_id
-    best = retrieve.ranked(retrieve.specific(q.where("question_id = 2"), got.chunks), "chunk_id", 1).join(got.chunks, "chunk_id").first()
-    assert "3600" in best.text and best.source_id == names["oauth-guide.md"].source_id and best.heading_path == ["Expiry"]
+    top = {r.question_id: r for r in retrieve.ranked(retrieve.broad(q, spark.createDataFrame(entries, got.catalog.schema)), "source_id", 1).collect()}
+    assert top[1].source_id == names["supplier.md"].source_id
+    best = retrieve.ranked(retrieve.specific(q.where("question_id = 2"), spark.createDataFrame(chunks, got.chunks.schema)), "chunk_id", 1).first()
+    hit = next(c for c in chunks if c.chunk_id == best.chunk_id)
+    assert "3600" in hit.text and hit.source_id == names["oauth.md"].source_id and hit.heading_path == ["Expiry"]
     r = got.report.first()
-    assert (r.found, r.selected, r.deliverable, r.blocked, r.failed) == (6, 4, 3, 1, 2)
-    again = corpus.run(spark, str(tmp_path))
-    assert again.chunks.exceptAll(got.chunks).isEmpty()
+    assert (r.found, r.selected, r.deliverable, r.blocked, r.failed) == (4, 3, 2, 1, 1)
 
 
 def test_nested_contract(spark, tmp_path):
-    folder(tmp_path)
-    parsed = corpus.parse(formats.scan(spark, str(tmp_path)))
-    one = sinks.as_json(sinks.nested(parsed.documents.where("filename = 'oauth-guide.md'"), parsed.sections)).first()
-    data = json.loads(one.value)
-    assert [s["block_id"] for s in data["sections"]] == [0, 1, 2, 3] and data["sections"][3]["heading_path"] == ["OAuth Guide", "Expiry"]
-    assert json.loads(sinks.envelope(parsed.documents.select("source_id", "filename")).first().value)["documents"]
+    parsed = corpus.parse(formats.scan(spark, put(tmp_path, a_txt="one\n\ntwo", b_docx="PK")))
+    data = json.loads(sinks.as_json(sinks.nested(parsed.documents, parsed.sections)).first().value)
+    assert [(s["block_id"], s["content"]) for s in data["sections"]] == [(0, "one"), (1, "two")]
     s = sinks.summary(parsed.documents, parsed.failures).first()
-    assert (s.total, s.succeeded, s.failed) == (6, 4, 2)
+    assert (s.total, s.succeeded, s.failed) == (2, 1, 1) and s.failures[0].source.endswith("b.docx")
 
 
 def test_stream_of_files(spark, tmp_path):
     src, out = tmp_path / "in", str(tmp_path / "out")
     src.mkdir()
-    (src / "a.md").write_text(OAUTH)
-    for text in (None, REPORT):
-        if text:
-            (src / "b.md").write_text(text)
-        ingest.ingest(spark, str(src), out, str(tmp_path / "cp")).awaitTermination(120)
+    put(src, a_txt="first text")
+    ingest.ingest(spark, str(src), out, str(tmp_path / "cp")).awaitTermination(900)
+    put(src, b_txt="second text")
+    ingest.ingest(spark, str(src), out, str(tmp_path / "cp")).awaitTermination(900)
     assert ingest.current(spark, out, "catalog").count() == 2
 
 
 def test_command_line(spark, tmp_path, capsys):
     assert cli.main([]) == 1 and cli.main(["parse"]) == 1 and cli.main(["parse", "--list-formats"]) == 0
     assert "docx" in capsys.readouterr().out.split()
-    assert cli.main(["parse", "-d", folder(tmp_path), "--fail-fast"]) == 2
+    assert cli.main(["parse", "-d", put(tmp_path, a_txt="some text here", b_txt=" ", c_xyz="?"), "--fail-fast"]) == 2
     lines = [json.loads(x) for x in capsys.readouterr().out.splitlines()]
-    assert len(lines) == 4 and {d["verdict"] for d in lines} >= {"ok", "unusable"}
+    assert {d["verdict"] for d in lines} == {"ok", "unusable"}
     assert cli.main(["parse", "-f", str(tmp_path / "gone.md")]) == 1
