@@ -30,8 +30,8 @@ MARK = "▁"
 #: Fixed values of the model format: kinds of pieces and of models.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-#: Words that a task remembers; when full, the memory starts anew.
-REMEMBERED = 600_000
+#: Words that a worker remembers: when as many are new, those not used since the last such time are forgotten.
+REMEMBERED = 150_000
 
 
 def fields(data: bytes) -> Iterator[tuple[int, Any]]:
@@ -133,6 +133,8 @@ class Codec:
         self.tokenizer = m.tokenizer()
         self.normal = m.normalizer()
         self.seen: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
+        self.numbers = list(range(len(m.pieces)))  # one object for each id, however many words hold it
         byte = {i: int(p[3:5], 16) for i, (p, k) in enumerate(zip(m.pieces, m.kinds)) if k == BYTE}
         surface = []
         for i, (p, k) in enumerate(zip(m.pieces, m.kinds)):
@@ -215,14 +217,18 @@ class Codec:
         easy = [w for w, t in zip(marked, tied, strict=True) if not t]
         got = iter(self.tokenizer.encode_batch_fast(easy, add_special_tokens=False))
         for key, w, t in zip(keys, marked, tied, strict=True):
-            self.seen[key] = self._merge(w) if t else tuple(next(got).ids)
+            self.seen[key] = tuple(map(self.numbers.__getitem__, self._merge(w) if t else next(got).ids))
 
     def encode(self, rows: list[str]) -> list[list[int]]:
         """Ids of each text, whole; texts may be empty."""
         split = [self._words(self.normalize(t)) for t in rows]
         if len(self.seen) > REMEMBERED:
-            self.seen.clear()
+            self.seen, self.older = {}, self.seen
         new = set().union(*split).difference(self.seen)
+        if self.older:
+            known = new & self.older.keys()
+            self.seen.update((w, self.older[w]) for w in known)
+            new -= known
         if new:
             self._learn(list(new))
         get, unk = self.seen.__getitem__, self.model.unk
