@@ -5,7 +5,8 @@ smallest hashes of its set. Inverted lists of these values yield candidates, the
 estimates their similarity, full sets confirm it.
 
 Values are taken rarest first, as many as a linked pair needs to share one (prefix filter), so a
-passage that countless documents hold heads no list. Within a list nothing is paired with everything:
+passage that countless documents hold heads no list. Classes that meet are filtered once more by the
+same rule on their whole sets, which sets aside groups that are alike but below the threshold. Within a list nothing is paired with everything:
 rounds compare each member with one pivot and join what is linked into components; only pairs of
 members that then still lie in different components are compared one by one. No link between
 components is lost by that, and links within one change nothing.
@@ -22,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import Bloom, stored, table, texts
+from millrace.llm.common import Bloom, sent, stored, table, texts
 from millrace.llm.components import components
 
 SHINGLE = 5
@@ -105,6 +106,46 @@ def _keys(classes: DataFrame) -> DataFrame:
     return ranked.withColumn("take", take.cast("int")).where("take > 0").select("sid", F.explode(F.slice("vs", F.lit(1), F.col("take"))).alias("x")).select(F.col("x.v").alias("v"), "sid")
 
 
+#: Values of the active sets are ordered by how many sets hold them, in these steps.
+STEPS = (2, 8, 64, 512)
+
+
+def _full_keys(sets: DataFrame) -> DataFrame:
+    """v, sid: a second prefix filter, on whole sets of the classes that share sketch values.
+
+    A class needs NUM / DEN of its shingles to occur in other sets, or nothing can be linked to it; of
+    those that do, it is found by the rarest ones beyond that number less one. Nothing is estimated
+    here: a Bloom filter that lets strangers pass keeps the order the same for all sets.
+    """
+    counts = stored(sets.select(F.explode("set").alias("v")).groupBy("v").agg(F.count("*").alias("df")).where("df > 1"), "near-df")
+    get = sent(sets.sparkSession, [Bloom.of(counts.where(F.col("df") >= n), "v") for n in STEPS])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        steps = get()
+        for batch in batches:
+            lists = batch.column("set")
+            flat = lists.flatten().to_numpy(zero_copy_only=False)
+            ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))
+            rank = sum(b.has(flat).astype(np.int8) for b in steps)
+            owner, keys = [], [np.empty(0, np.int64)]
+            for i, (a, b) in enumerate(zip([0, *ends[:-1]], ends)):
+                often = a + np.flatnonzero(rank[a:b])
+                take = len(often) + (-(b - a) * NUM // DEN) + 1
+                if take > 0:
+                    keys.append(flat[often[np.lexsort((flat[often], rank[often]))[:take]]])
+                    owner.append(np.full(take, i))
+            yield pa.record_batch({"v": pa.array(np.concatenate(keys)), "sid": batch.column("sid").take(pa.array(np.concatenate(owner) if owner else np.empty(0, np.int64)))})
+
+    return sets.select("sid", "set").mapInArrow(run, "v long, sid binary")
+
+
+def _met(keys: DataFrame, name: str) -> DataFrame:
+    """Keys of values that several classes hold."""
+    keys = stored(keys, f"{name}-keys")
+    several = keys.groupBy("v").agg(F.count("*").alias("m")).where("m > 1").select("v")
+    return stored(keys.join(several, "v"), f"{name}-lists")
+
+
 def confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
     """Of the pairs (a, b) those that are linked: first by the sketch of the union, then on full sets."""
     small = classes.select("sid", "n", "sketch")
@@ -125,18 +166,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     component_id is the smallest id among the rows that a row is linked to, directly or over others.
     A text without words (null, empty, white space) is linked with nothing: its component is its own
-    id. Rows without an id are compared like others but give no component its name; repeated rows
-    get the same result. Columns other than id and text are ignored.
+    id. Rows without an id share the class of rows of the same words; a class that only such rows hold
+    is linked with nothing. Repeated rows get the same result. Columns other than id and text are ignored.
     """
     members = stored(sketches(docs, id_col, text_col), "near-members")
     classes = members.where("sid IS NOT NULL").groupBy("sid").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     classes = stored(classes, "near-classes")
-    keys = stored(_keys(classes), "near-keys")
-    listed = keys.groupBy("v").agg(F.count("*").alias("m")).where("m > 1").select("v")
-    keys = stored(keys.join(listed, "v"), "near-lists")
-    active = keys.select("sid").distinct().join(classes.select("sid", "rep"), "sid")
+    active = _met(_keys(classes), "near-sketch").select("sid").distinct().join(classes.select("sid", "rep"), "sid")
     sets = full_sets(docs, id_col, text_col, Bloom.of(active.where("rep IS NOT NULL"), "rep"))
     sets = stored(sets.join(active.select("sid"), "sid", "left_semi").dropDuplicates(["sid"]), "near-sets")
+    keys = _met(_full_keys(sets), "near-full")
 
     limit = keys.count()
     edges: DataFrame | None = None
