@@ -460,11 +460,11 @@ WIDE = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "c_name",
 WITH o AS (SELECT *, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) AS i FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE o_orderkey % 50 = 0)
 SELECT o_orderstatus AS source_id, CAST(i AS INTEGER) AS block_id, '**Record ' || i || '**' || chr(10) || {" || chr(10) || ".join(f"'- {c}: ' || CAST({c} AS VARCHAR)" for c in WIDE[:-1])} || chr(10) || '- col12: z' AS content FROM o""")
 def wide_table_transpose(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders").where(F.col("o_orderkey") % 50 == 0).join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    o = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     row = F.array(*(F.col(c).cast("string") for c in WIDE[:-1]), F.lit(" z "))
-    t = o.groupBy(F.col("o_orderstatus").alias("source_id")).agg(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", row.alias("r")))), lambda x: x["r"]).alias("body"))
-    t = t.select("source_id", F.concat(F.array(F.array(*map(F.lit, WIDE))), "body").alias("rows"))
-    return structured.table_blocks(t).where("block_id > 0").select("source_id", "block_id", "content")
+    t = structured.numbered(o.select(F.col("o_orderstatus").alias("source_id"), "o_orderkey", row.alias("row")), "o_orderkey", "i")
+    t = t.select("source_id", F.array(*map(F.lit, WIDE)).alias("head"), "i", "row")
+    return structured.record_blocks(t).select("source_id", "block_id", "content")
 
 
 @query("SELECT event_id, 'k: ' || (props::JSON->>'k') AS content, 'dict' AS root FROM events")

@@ -20,6 +20,8 @@ from millrace.sources.blocks import plain_blocks
 #: Encodings in the order they are tried, and the widest table shown as a table.
 ENCODINGS = ["utf-8", "utf-8-sig", "gb18030", "big5", "latin-1"]
 WIDEST = 12
+#: Keys of a lot, in which rows are numbered.
+LOT = 4096
 
 
 def decode(content: Column, lenient: bool = False) -> Column:
@@ -83,20 +85,51 @@ def table_blocks(tables: DataFrame) -> DataFrame:
     """
     t = tables.where(F.size("rows") > 0).select("source_id", F.transform(F.element_at("rows", 1), lambda c: strip(c)).alias("head"), F.slice("rows", 2, F.size("rows")).alias("body"))
     n = F.size("head")
-    fit = F.transform("body", lambda r: F.transform(F.slice(F.concat(r, F.array_repeat(F.lit(""), F.greatest(n - F.size(r), F.lit(0)))), 1, n), lambda c: strip(c)))
+    fit = F.transform("body", lambda r: _fit(r, n))
     meta = F.create_map(F.lit("columns"), n.cast("string"), F.lit("rows"), F.size("body").cast("string"))
     narrow = t.where(n <= WIDEST).select("source_id", F.lit(0).alias("block_id"), F.lit("table").alias("type"), markdown_grid(F.concat(F.array("head"), fit), escape_head=False).alias("content"), meta.alias("metadata"))
     wide = t.where(n > WIDEST)
     head = wide.select("source_id", F.lit(0).alias("block_id"), F.lit("heading").alias("type"), F.lit(1).alias("level"), F.lit("Wide table (transposed)").alias("content"), meta.alias("metadata"))
-    records = wide.select("source_id", "head", F.posexplode("body").alias("i", "row"))
+    records = _record_texts(wide.select("source_id", "head", F.posexplode("body").alias("i", "row")))
+    rows = _record_sections(records, F.row_number().over(Window.partitionBy("source_id").orderBy("i")))
+    out = as_sections(narrow).unionByName(as_sections(head))
+    return out.unionByName(rows)
+
+
+def numbered(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """rows with `name`: the place, from 0, in its source by a whole-number key that is unique there.
+
+    A place is the offset of the key's lot plus the place in the lot, so no task holds a whole source.
+    """
+    lots = rows.withColumn("_lot", F.floor(F.col(key) / LOT))
+    counts = lots.groupBy("source_id", "_lot").agg(F.count("*").alias("_n"))  # a row for each LOT keys
+    offsets = counts.select("source_id", "_lot", (F.sum("_n").over(Window.partitionBy("source_id").orderBy("_lot")) - F.col("_n")).alias("_offset"))
+    place = F.row_number().over(Window.partitionBy("source_id", "_lot").orderBy(key)) - 1
+    return lots.withColumn("_place", place).join(offsets, ["source_id", "_lot"]).withColumn(name, (F.col("_offset") + F.col("_place")).cast("int")).drop("_lot", "_place", "_offset")
+
+
+def record_blocks(records: DataFrame) -> DataFrame:
+    """The records that table_blocks makes of a wide table, from its body rows (source_id, head, i, row), of any number."""
+    n = F.size("head")
+    got = _record_texts(records.select("source_id", F.transform("head", lambda c: strip(c)).alias("head"), "i", _fit(F.col("row"), n).alias("row")))
+    return _record_sections(numbered(got, "i", "_block"), F.col("_block") + 1)
+
+
+def _fit(row: Column, n: Column) -> Column:
+    return F.transform(F.slice(F.concat(row, F.array_repeat(F.lit(""), F.greatest(n - F.size(row), F.lit(0)))), 1, n), lambda c: strip(c))
+
+
+def _record_texts(records: DataFrame) -> DataFrame:
+    """source_id, i, content of the rows (source_id, head, i, row) that aren't blank."""
     pairs = F.filter(F.arrays_zip(F.col("head").alias("h"), F.slice("row", 1, F.size("head")).alias("c")), lambda x: F.coalesce(strip(x["c"]), F.lit("")) != "")
     named = F.transform("head", lambda h, j: F.when(h == "", F.concat(F.lit("col"), j.cast("string"))).otherwise(h))
     records = records.withColumn("head", named).withColumn("pairs", pairs).where(F.size("pairs") > 0)
     said = F.transform("pairs", lambda x: F.concat(F.lit("- "), x["h"], F.lit(": "), strip(x["c"])))
-    body = F.concat(F.lit("**Record "), (F.col("i") + 1).cast("string"), F.lit("**\n"), F.array_join(said, "\n"))
-    rows = records.select("source_id", F.row_number().over(Window.partitionBy("source_id").orderBy("i")).alias("block_id"), F.lit("paragraph").alias("type"), body.alias("content"), F.create_map(F.lit("record_index"), F.col("i").cast("string")).alias("metadata"))
-    out = as_sections(narrow).unionByName(as_sections(head))
-    return out.unionByName(as_sections(rows))
+    return records.select("source_id", "i", F.concat(F.lit("**Record "), (F.col("i") + 1).cast("string"), F.lit("**\n"), F.array_join(said, "\n")).alias("content"))
+
+
+def _record_sections(texts: DataFrame, block_id: Column) -> DataFrame:
+    return as_sections(texts.select("source_id", block_id.alias("block_id"), F.lit("paragraph").alias("type"), "content", F.create_map(F.lit("record_index"), F.col("i").cast("string")).alias("metadata")))
 
 
 def delimited_blocks(sources: DataFrame, delimiter: str = ",") -> DataFrame:
