@@ -34,3 +34,11 @@ def test_record_blocks_equal_table_blocks(spark):
     parts = structured.record_blocks(spark.createDataFrame([("s", head, i, r) for i, r in enumerate(body)], "source_id string, head array<string>, i int, row array<string>"))
     columns = ("block_id", "content", "metadata")
     assert whole.select(*columns).orderBy("block_id").collect() == parts.select(*columns).orderBy("block_id").collect()
+
+
+def test_merged_cells_of_every_order_are_filled(spark, tmp_path):
+    lines = [(k, n, 100 * k + n) for k in (1, 39, 40, 41) for n in (1, 2, 3, 4)]
+    d = put(spark, tmp_path, lineitem=(lines, "l_orderkey long, l_linenumber int, l_partkey long"))
+    got = {(int(r.source_id), r.row, r.col): r.value for r in plans.merged_cell_expand(spark, d).collect()}
+    own = lambda p, n, c: f"{p}:{c}" if (n + c) % 3 != 1 else None
+    assert got == {(k, n, c): own(100 * k + 1, 1, 1) if n <= 3 and c <= 2 else own(p, n, c) for k, n, p in lines for c in (1, 2, 3)}
