@@ -892,7 +892,7 @@ def text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(rf"""WITH p AS (SELECT CAST(doc_id AS VARCHAR) AS source_id, p, {s_normalize('ls[p]')} AS c FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE doc_id % 3 = 0), unnest(range(1, len(ls) + 1)) AS u(p))
 SELECT source_id, CAST(row_number() OVER (PARTITION BY source_id ORDER BY p) - 1 AS INTEGER) AS block_id, CASE WHEN length(c) < 80 AND NOT regexp_matches(c, '[.。!！?？;；]\z') THEN 'heading' ELSE 'paragraph' END AS type, length(c) AS n_chars, md5(c) AS digest FROM p WHERE c <> ''""")
 def ocr_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").where("doc_id % 3 = 0").select(F.col("doc_id").cast("string").alias("source_id"), F.replace("text", F.lit("\n"), F.lit("\n\n")).alias("text"))
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("source_id"), F.replace("text", F.lit("\n"), F.lit("\n\n")).alias("text"))
     return report(ly.ocr_text_blocks(d, "paddle", unicode=False), "type")
 
 

@@ -42,3 +42,9 @@ def test_merged_cells_of_every_order_are_filled(spark, tmp_path):
     got = {(int(r.source_id), r.row, r.col): r.value for r in plans.merged_cell_expand(spark, d).collect()}
     own = lambda p, n, c: f"{p}:{c}" if (n + c) % 3 != 1 else None
     assert got == {(k, n, c): own(100 * k + 1, 1, 1) if n <= 3 and c <= 2 else own(p, n, c) for k, n, p in lines for c in (1, 2, 3)}
+
+
+def test_ocr_blocks_of_every_document(spark, tmp_path):
+    d = put(spark, tmp_path, documents=([(i, f"Title {i}\nA sentence {i}.") for i in range(7)], "doc_id long, text string"))
+    got = {(int(r.source_id), r.block_id, r.type) for r in plans.ocr_headings(spark, d).collect()}
+    assert got == {(i, b, kind) for i in range(7) for b, kind in enumerate(("heading", "paragraph"))}
