@@ -1,18 +1,19 @@
 """Sharding by balanced label propagation, with DataFrame operations only.
 
-Documents of equal text are linked. All start in shards dealt by hash; then, round by round, the
-shards vote for each group: its members move to the shard that holds most of them (as many shards as
-the group needs, if it is larger than one), as far as the room of that shard allows. Unlinked
-documents make way at the end, when the counts are levelled exactly. Only ids and digests move; what
+Documents of equal text are linked. All start in shards dealt by hash; then, round by round until no
+row moves, the shards vote for each group: its members move to the shard that can hold most of them,
+counting its members there and the room left (as many shards as the group needs, if it doesn't fit
+in one). Unlinked documents make way at the end, when the counts are levelled exactly. Only ids and digests move; what
 reaches the driver are counts by shard.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import stored, table
+from millrace.llm.common import WRITTEN, remove, stored, table
 
 SHARDS = 40
+#: Rounds after which each must move fewer rows than the one before, so that they end.
 ROUNDS = 3
 #: Buckets by which moves into a shard are admitted.
 BUCKETS = 256
@@ -31,27 +32,52 @@ def quotas(n: int, shards: int) -> list[int]:
     return [n // shards + (s < n % shards) for s in range(shards)]
 
 
-def propose(linked: DataFrame, room: int, shards: int, turn: int) -> DataFrame:
-    """linked (row, grp, members, shard) with `want`: where its group's votes send each row."""
+def room_left(linked: DataFrame, quota: list[int]) -> list[int]:
+    have = dict(linked.groupBy("shard").count().collect())
+    return [max(0, q - have.get(s, 0)) for s, q in enumerate(quota)]
+
+
+def propose(linked: DataFrame, left: list[int], turn: int) -> DataFrame:
+    """linked (row, grp, members, shard) with `want`: where its group's votes send each row.
+
+    left: each shard's room. The shards that can hold most of a group are its goals, as many as it
+    needs; a row outside them asks for one with room, or stays if none has any.
+    """
     votes = linked.groupBy("grp", "members", "shard").count()
-    ranked = votes.groupBy("grp", "members").agg(F.sort_array(F.collect_list(F.struct((-F.col("count")).alias("c"), F.pmod(F.xxhash64("grp", "shard"), F.lit(1 << 20)).alias("h"), "shard"))).alias("v"))  # a row for each shard at most
-    needed = F.ceil(F.col("members") / F.lit(room)).cast("int")
-    goals = ranked.select("grp", F.slice(F.transform("v", lambda x: x["shard"]), F.lit(1), needed).alias("goals"))
-    other = F.get("goals", F.pmod(_mix(turn, "row"), F.size("goals")).cast("int"))
-    return linked.join(goals, "grp").select("row", "grp", "members", "shard", F.when(F.array_contains("goals", F.col("shard")), F.col("shard")).otherwise(other).alias("want"))
+    held = votes.groupBy("grp", "members").agg(F.map_from_entries(F.collect_list(F.struct("shard", "count"))).alias("held"))  # an entry for each shard at most
+
+    def judge(s: Column) -> Column:
+        here, room = F.coalesce(F.try_element_at("held", s), F.lit(0)), _pick(left, s)
+        return F.struct((-F.least(F.col("members"), here + room)).alias("p"), (-here).alias("c"), F.pmod(F.xxhash64("grp", s, F.lit(turn)), F.lit(1 << 20)).alias("h"), s.alias("shard"), (room > 0).alias("open"))
 
+    def take(got: Column, x: Column) -> Column:
+        enough = got["held"] >= F.col("members")
+        return F.when(enough, got).otherwise(F.struct((got["held"] - x["p"]).alias("held"), F.concat(got["goals"], F.array(x["shard"])).alias("goals"), F.concat(got["open"], F.when(x["open"], F.array(x["shard"])).otherwise(F.array().cast("array<int>"))).alias("open")))
 
-def admit(wanted: DataFrame, quota: list[int], turn: int) -> DataFrame:
-    """Proposals are admitted bucket by bucket while the goal has room; the others stay where they are."""
+    none = F.array().cast("array<int>")
+    ranked = held.withColumn("v", F.sort_array(F.transform(F.array(*map(F.lit, range(len(left)))), judge)))
+    goals = ranked.select("grp", F.aggregate("v", F.struct(F.lit(0).cast("long").alias("held"), none.alias("goals"), none.alias("open")), take).alias("g"))
+    open_ = F.col("g.open")
+    other = F.get(open_, F.pmod(_mix(turn, "row"), F.greatest(F.size(open_), F.lit(1))).cast("int"))
+    there = F.array_contains("g.goals", F.col("shard")) | (F.size(open_) == 0)
+    return linked.join(goals, "grp").select("row", "grp", "members", "shard", F.array_contains("g.goals", F.col("shard")).alias("home"), F.when(there, F.col("shard")).otherwise(other).alias("want"))
+
+
+def admit(wanted: DataFrame, quota: list[int], turn: int) -> tuple[DataFrame, int]:
+    """Proposals are admitted bucket by bucket while the goal has room; the others stay where they are. Also the number of moves.
+
+    A group that is small beside a shard lies in one bucket, so its rows move together.
+    """
     stay = dict(wanted.where("want = shard").groupBy("shard").count().collect())
     left = [q - stay.get(s, 0) for s, q in enumerate(quota)]
-    at = F.pmod(_mix(turn + 1000, "row"), F.lit(BUCKETS)).cast("int")
+    unit = F.when(F.col("members") * 8 <= quota[-1], F.xxhash64("grp", F.lit(turn + 1000))).otherwise(_mix(turn + 1000, "row"))
+    at = F.pmod(unit, F.lit(BUCKETS)).cast("int")
     asked = wanted.where("want != shard").groupBy("want", at.alias("bucket")).count()  # shards x BUCKETS rows at most
     order = Window.partitionBy("want").orderBy("bucket")
-    ok = asked.withColumn("upto", F.sum("count").over(order)).where(F.col("upto") <= _pick(left, F.col("want"))).groupBy("want").agg(F.max("bucket")).collect()
-    last = dict(ok)
+    ok = asked.withColumn("upto", F.sum("count").over(order)).where(F.col("upto") <= _pick(left, F.col("want"))).groupBy("want").agg(F.max("bucket").alias("last"), F.max("upto").alias("moves")).collect()
+    last = {r["want"]: r["last"] for r in ok}
     may = (F.col("want") != F.col("shard")) & (at <= _pick([last.get(s, -1) for s in range(len(quota))], F.col("want")))
-    return wanted.select("row", "grp", "members", F.when(may, F.col("want")).otherwise(F.col("shard")).alias("shard"), ((F.col("want") == F.col("shard")) | may).alias("settled"))
+    return wanted.select("row", "grp", "members", F.when(may, F.col("want")).otherwise(F.col("shard")).alias("shard"), (F.col("home") | may).alias("settled")), sum(r["moves"] for r in ok)
 
 
 def level(placed: DataFrame, quota: list[int]) -> DataFrame:
@@ -97,8 +123,17 @@ def balanced_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sizes = rows.groupBy("grp").agg(F.count("*").alias("members")).where("members > 1")
     start = F.pmod(_mix(0, "row"), F.lit(shards)).cast("int").alias("shard")
     linked = stored(rows.select("row", "grp").join(sizes, "grp").select("row", "grp", "members", start), "shard-links")
-    for turn in range(rounds):
-        linked = stored(admit(propose(linked.select("row", "grp", "members", "shard"), max(1, quota[-1]), shards, turn), quota, turn), f"shard-round{turn}")
+    turn, before = 0, total
+    while True:
+        old = WRITTEN[-1]
+        wanted = propose(linked.select("row", "grp", "members", "shard"), room_left(linked, quota), turn)
+        placed, moves = admit(wanted, quota, turn)
+        linked = stored(placed, f"shard-round{turn}")
+        remove(docs.sparkSession, [old])
+        turn += 1
+        if not moves or (turn > rounds and moves >= before):
+            break
+        before = moves
     placed = rows.join(linked.select("row", F.col("shard").alias("moved"), "settled"), "row", "left")
     placed = placed.select("row", "id", "size", "text_crc32", "grp", F.coalesce("moved", start).alias("shard"), F.coalesce("settled", F.lit(False)).alias("settled"))
     return level(stored(placed, "shard-placed"), quota).select("id", "size", "text_crc32", "grp", "shard", "slot")

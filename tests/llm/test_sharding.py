@@ -37,3 +37,12 @@ def test_a_group_larger_than_a_shard_is_split(spark, write):
 def test_small_and_empty_tables(spark, write):
     for docs in ([], [(1, "a")], [(i, "same") for i in range(7)]):
         check(docs, sh.op6_shards(spark, write(documents=docs)).collect())
+
+
+def test_pairs_beside_a_hot_group_stay_whole(spark, write):
+    docs = [(i, "hot") for i in range(2000)] + [(2000 + i, f"pair {i // 2}") for i in range(1800)] + [(3800 + i, f"t{i}") for i in range(2200)]
+    got = sh.op6_shards(spark, write(documents=docs)).collect()
+    check(docs, got)
+    at = {r.doc_id: r.shard for r in got}
+    cut = sum(at[i] != at[i + 1] for i in range(2000, 3800, 2))
+    assert cut <= 18  # 2% of the pairs, though a third of the shards are full
