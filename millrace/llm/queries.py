@@ -7,7 +7,7 @@ from millrace.llm.html_extract import op8_html
 from millrace.llm.licenses import OP4_SQL, op4_licenses
 from millrace.llm.line_dedup import OP1_SQL, op1_line_dedup
 from millrace.llm.near_duplicates import OP2_SQL, op2_near_duplicates
-from millrace.llm.sentencepiece_codec import op5_sentencepiece
+from millrace.llm.sentencepiece_codec import op5_sentencepiece, sentencepiece_parity
 from millrace.llm.sharding import op6_shards
 from millrace.llm.toxicity import op7_toxicity
 
@@ -17,6 +17,7 @@ QUERIES = {
     "op3_chat": op3_chat,
     "op4_licenses": op4_licenses,
     "op5_sentencepiece": op5_sentencepiece,
+    "sentencepiece_parity": sentencepiece_parity,
     "op6_shards": op6_shards,
     "op7_toxicity": op7_toxicity,
     "op8_html": op8_html,

@@ -375,3 +375,8 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
 
     return table(spark, sf_dir, "documents").select("doc_id", "text").mapInArrow(rows, "doc_id long, n_tokens long, ids_sha256 string, n_byte_tokens long, decoded_sha256 string, round_trip boolean")
+
+
+def sentencepiece_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last step of the method: every document, null and empty ones too, held against the library."""
+    return parity(table(spark, sf_dir, "documents"))

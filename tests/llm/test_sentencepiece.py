@@ -70,3 +70,10 @@ def test_unigram_model():
         ids = own.encode([text])[0]
         assert ids == other.encode(text), text
         assert own.decode(ids) == other.decode(ids), text
+
+
+def test_every_document_is_held_against_the_library(spark, write):
+    from millrace.llm.queries import QUERIES
+
+    docs = [(1, "Two words"), (2, None), (3, ""), (4, "long text with é and 中文 " * 300), (None, "▁▁ runs   of markers ▁")]
+    assert tuple(QUERIES["sentencepiece_parity"](spark, write(documents=docs)).first()) == (5, 0, 0)
