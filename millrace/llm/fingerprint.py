@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import Bloom, table, texts
+from millrace.llm.common import Bloom, Steps, sent, small_batches, table, texts
 
 
 def canonical(text: str) -> bytes:
@@ -40,10 +40,12 @@ def buckets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """One row per different canonical text that shares its digest with another row: digest, canon,
     n_rows, first_id (smallest id) and nth (0 for the smallest canonical text of the digest).
 
-    Only rows of digests that occur twice move: a Bloom filter of fixed size tells them, and each
+    Only rows of digests that occur twice move: a Bloom filter of bounded size tells them, and each
     task sends a text once however many copies it has. Null texts count as empty.
     """
 
+    small_batches(docs.sparkSession)
+
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (rows,) in texts(batches, "text"):
             yield pa.record_batch({"digest": [digest(canonical(t or "")) for t in rows]})
@@ -51,13 +53,17 @@ def buckets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     one = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     keys = one.select("text").mapInArrow(digests, "digest string")
     twice = keys.groupBy("digest").count().where("count > 1").select(F.conv(F.substring("digest", 1, 16), 16, -10).cast("long").alias("k"))
-    members = Bloom.of(twice, "k")
+    steps = Steps(docs.sparkSession)
+    twice = steps.put(twice, "fingerprint-twice")
+    members = sent(docs.sparkSession, Bloom.of(twice, "k"))
+    steps.drop(twice)
 
     def bytes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = members()
         for ids, rows in texts(batches, "id", "text"):
             canon = [canonical(t or "") for t in rows]
             hexes = [digest(c) for c in canon]
-            at = np.flatnonzero(members.has(_keys(hexes))) if hexes else []
+            at = np.flatnonzero(known.has(_keys(hexes))) if hexes else []
             yield pa.record_batch({"id": pa.array([ids[i] for i in at], pa.int64()), "digest": pa.array([hexes[i] for i in at], pa.string()), "canon": pa.array([canon[i] for i in at], pa.binary())})
 
     compared = one.mapInArrow(bytes_of, "id long, digest string, canon binary").groupBy("digest", "canon").agg(F.count("*").alias("n_rows"), F.min("id").alias("first_id"))

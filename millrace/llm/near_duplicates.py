@@ -5,25 +5,29 @@ smallest hashes of its set. Inverted lists of these values yield candidates, the
 estimates their similarity, full sets confirm it.
 
 Values are taken rarest first, as many as a linked pair needs to share one (prefix filter), so a
-passage that countless documents hold heads no list. Classes that meet are filtered once more by the
-same rule on their whole sets, which sets aside groups that are alike but below the threshold. Within a list nothing is paired with everything:
-rounds compare each member with one pivot and join what is linked into components; only pairs of
-members that then still lie in different components are compared one by one. No link between
-components is lost by that, and links within one change nothing.
+passage that countless documents hold heads no list. Nothing is paired with everything: each list has
+a pivot, the member whose values are the commonest (the original among edited copies), and members
+meet their list's pivot only. What is linked becomes one component, and links within one change nothing.
+
+Lists that then still hold several components are cut by the whole sets: their classes are found again
+by the rarest of all their shingles, in lists that carry each class's size and how many values it can
+still share from that place on. Two classes meet there only if sizes and places leave room for a link.
+Again pivots go first, round after round as long as one links anything; then every pair of different
+components that may be linked is compared. So no link between components is lost.
 
 Two sets of similarity 0.75 share fewer than SHARED of their K sketch values with a probability below
 1e-12; sets of up to K shingles are handled exactly.
 """
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import Bloom, sent, stored, table, texts
+from millrace.llm.common import Bloom, Steps, sent, small_batches, table, texts
 from millrace.llm.components import components
 
 SHINGLE = 5
@@ -69,12 +73,13 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return one.mapInArrow(run, "id long, tk long, n long, sid binary, sketch array<long>")
 
 
-def full_sets(docs: DataFrame, id_col: str, text_col: str, wanted: Bloom) -> DataFrame:
+def full_sets(docs: DataFrame, id_col: str, text_col: str, wanted: Callable[[], Bloom]) -> DataFrame:
     """sid, n and the whole set of each document whose id passes the filter."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = wanted()
         for ids, rows in texts(batches, "id", "text"):
-            keep = np.flatnonzero(wanted.has(np.array(ids, np.int64))).tolist()
+            keep = np.flatnonzero(known.has(np.array(ids, np.int64))).tolist()
             sets = [s for k in keep if len(s := shingles(rows[k] or ""))]
             yield pa.record_batch({"sid": pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), "n": pa.array(map(len, sets), pa.int64()), "set": _lists(sets)})
 
@@ -82,68 +87,113 @@ def full_sets(docs: DataFrame, id_col: str, text_col: str, wanted: Bloom) -> Dat
     return one.mapInArrow(run, "sid binary, n long, set array<long>")
 
 
-def _keys(classes: DataFrame) -> DataFrame:
-    """v, sid: the values by which a class must be found, rarest first."""
+#: n and the label of a class travel with each of its keys; `left` is the most values that it can share from the key's place on.
+KEY = "v long, sid binary, n long, left long, centre double"
+
+
+def sketch_keys(classes: DataFrame, steps: Steps) -> DataFrame:
+    """KEY: the sketch values by which a class must be found, rarest first. centre: how common its values are."""
     values = classes.select("sid", F.explode("sketch").alias("v"))
-    counts = values.groupBy("v").agg(F.count("*").alias("df")).where("df > 1")
-    counts = stored(counts, "near-values")
-    often = Bloom.of(counts, "v")
+    counts = steps.put(values.groupBy("v").agg(F.count("*").alias("df")).where("df > 1"), "near-values")
+    often = sent(classes.sparkSession, Bloom.of(counts, "v"))
 
     def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = often()
         for batch in batches:
             sketch = batch.column("sketch")
             flat = sketch.flatten()
-            ok = often.has(flat.to_numpy(zero_copy_only=False))
+            ok = known.has(flat.to_numpy(zero_copy_only=False))
             owner = np.repeat(np.arange(batch.num_rows), sketch.value_lengths().to_numpy(zero_copy_only=False))[ok]
-            yield pa.record_batch({"sid": batch.column("sid").take(pa.array(owner)), "n": batch.column("n").take(pa.array(owner)), "v": flat.filter(pa.array(ok))})
+            # a set of which too few values occur elsewhere is linked with nothing
+            n = batch.column("n").to_numpy()
+            may = np.bincount(owner, minlength=batch.num_rows) >= np.where(n * DEN <= K * NUM, -(-n * NUM // DEN), SHARED)
+            own = pa.array(owner[may[owner]])
+            yield pa.record_batch({"sid": batch.column("sid").take(own), "n": batch.column("n").take(own), "v": flat.filter(pa.array(ok)).filter(pa.array(may[owner]))})
 
     shared = classes.select("sid", "n", "sketch").mapInArrow(passing, "sid binary, n long, v long").join(counts, "v")
     # of n values (K at most), a linked pair shares `need`; single values come first in the order and use up places
-    kept = F.least(F.col("n"), F.lit(K))
     need = F.when(F.col("n") * DEN <= K * NUM, F.ceil(F.col("n") * NUM / DEN)).otherwise(F.lit(SHARED))
-    ranked = shared.groupBy("sid", "n").agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("vs"))  # K rows at most
-    take = F.size("vs") - need + 1
-    return ranked.withColumn("take", take.cast("int")).where("take > 0").select("sid", F.explode(F.slice("vs", F.lit(1), F.col("take"))).alias("x")).select(F.col("x.v").alias("v"), "sid")
+    ranked = shared.groupBy("sid", "n").agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("vs"), F.sum(F.log2("df")).alias("centre"))  # K values at most
+    take = (F.size("vs") - need + 1).cast("int")
+    placed = ranked.withColumn("take", take).where("take > 0").select("sid", "n", "centre", F.size("vs").alias("m"), F.posexplode(F.slice("vs", F.lit(1), F.col("take"))).alias("p", "x"))
+    return placed.select(F.col("x.v").alias("v"), "sid", "n", (F.col("m") - F.col("p")).cast("long").alias("left"), (F.col("centre") / F.least(F.col("n"), F.lit(K))).alias("centre"))
 
 
-#: Values of the active sets are ordered by how many sets hold them, in these steps.
-STEPS = (2, 8, 64, 512)
+#: Values of whole sets are ordered by how many sets hold them, in these steps.
+OFTEN = (2, 3, 4, 6, 8, 16, 32, 64, 128, 512, 2048, 8192)
 
 
-def _full_keys(sets: DataFrame) -> DataFrame:
-    """v, sid: a second prefix filter, on whole sets of the classes that share sketch values.
+def full_keys(sets: DataFrame, steps: Steps) -> DataFrame:
+    """KEY: the same on whole sets of the classes that share sketch values.
 
     A class needs NUM / DEN of its shingles to occur in other sets, or nothing can be linked to it; of
     those that do, it is found by the rarest ones beyond that number less one. Nothing is estimated
     here: a Bloom filter that lets strangers pass keeps the order the same for all sets.
     """
-    counts = stored(sets.select(F.explode("set").alias("v")).groupBy("v").agg(F.count("*").alias("df")).where("df > 1"), "near-df")
-    get = sent(sets.sparkSession, [Bloom.of(counts.where(F.col("df") >= n), "v") for n in STEPS])
+    counts = sets.select(F.explode("set").alias("v")).groupBy("v").agg(F.count("*").alias("df")).where("df > 1")
+    rank = sum(F.when(F.col("df") >= n, 1).otherwise(0) for n in OFTEN[1:])
+    counts = steps.put(counts.select("v", rank.alias("top")), "near-df")
+    each = counts.select("v", F.explode(F.sequence(F.lit(0), F.col("top"))).alias("rank"))
+    get = sent(sets.sparkSession, Bloom.several(each, "v", len(OFTEN)))
+    steps.drop(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        steps = get()
+        filters = get()
         for batch in batches:
             lists = batch.column("set")
             flat = lists.flatten().to_numpy(zero_copy_only=False)
             ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))
-            rank = sum(b.has(flat).astype(np.int8) for b in steps)
-            owner, keys = [], [np.empty(0, np.int64)]
+            rank = np.zeros(len(flat), np.int8)
+            at = np.arange(len(flat))
+            for b in filters:  # a value that one filter stops isn't in the next
+                at = at[b.has(flat[at])]
+                rank[at] += 1
+            owner, keys, left, centre = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)], []
             for i, (a, b) in enumerate(zip([0, *ends[:-1]], ends)):
                 often = a + np.flatnonzero(rank[a:b])
                 take = len(often) + (-(b - a) * NUM // DEN) + 1
+                centre.append(rank[a:b].sum() / max(1, b - a))
                 if take > 0:
                     keys.append(flat[often[np.lexsort((flat[often], rank[often]))[:take]]])
                     owner.append(np.full(take, i))
-            yield pa.record_batch({"v": pa.array(np.concatenate(keys)), "sid": batch.column("sid").take(pa.array(np.concatenate(owner) if owner else np.empty(0, np.int64)))})
+                    left.append(len(often) - np.arange(take))
+            own = np.concatenate(owner)
+            yield pa.record_batch({"v": pa.array(np.concatenate(keys)), "sid": batch.column("sid").take(pa.array(own)), "n": batch.column("n").take(pa.array(own)), "left": pa.array(np.concatenate(left)), "centre": pa.array(np.array(centre, float)[own])})
 
-    return sets.select("sid", "set").mapInArrow(run, "v long, sid binary")
+    return sets.select("sid", "n", "set").mapInArrow(run, KEY)
 
 
-def _met(keys: DataFrame, name: str) -> DataFrame:
-    """Keys of values that several classes hold."""
-    keys = stored(keys, f"{name}-keys")
-    several = keys.groupBy("v").agg(F.count("*").alias("m")).where("m > 1").select("v")
-    return stored(keys.join(several, "v"), f"{name}-lists")
+def _room(na: Column, nb: Column, la: Column, lb: Column, whole: bool) -> Column:
+    """Whether two classes can be linked if the key they meet by is the first value they share."""
+    left = F.least(la, lb)
+    enough = left * (NUM + DEN) >= NUM * (na + nb)
+    if not whole:  # sketches of sets that don't fit one
+        enough = F.when((na > K) | (nb > K), left >= SHARED).otherwise(enough)
+    return (DEN * F.least(na, nb) >= NUM * F.greatest(na, nb)) & enough
+
+
+def pivot_pairs(keys: DataFrame, turn: int, whole: bool) -> DataFrame:
+    """a, b: each class with the pivots of its lists, of another label each."""
+    order = F.struct("centre", "sid", "n", "left", "label") if not turn else F.struct(F.xxhash64("sid", F.lit(turn)).alias("h"), "sid", "n", "left", "label")
+    pivot = keys.groupBy("v").agg(F.max(order).alias("p"), F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("v", "p")
+    met = keys.join(pivot, "v").where((F.col("label") != F.col("p.label")) & _room(F.col("n"), F.col("p.n"), F.col("left"), F.col("p.left"), whole))
+    return met.select(F.col("sid").alias("a"), F.col("p.sid").alias("b")).distinct()
+
+
+def all_pairs(keys: DataFrame) -> DataFrame:
+    """a, b: all pairs of classes with different labels that a list leaves room for.
+
+    Lists are cut by size first, in steps of DEN : NUM: a class stands with its own step and the next,
+    and a pair meets in the larger one's. There a class goes if the smallest size it may meet is too large for it.
+    """
+    step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(DEN / NUM)))
+    cut = keys.withColumn("own", step).withColumn("step", F.explode(F.array("own", F.col("own") + 1)))
+    part = cut.groupBy("v", "step").agg(F.min("n").alias("least"), F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("v", "step", "least")
+    may = F.col("left") * (NUM + DEN) >= NUM * (F.col("n") + F.greatest(F.col("least"), F.ceil(F.col("n") * NUM / DEN)))
+    cut = cut.join(part, ["v", "step"]).where(may).select("v", "step", "own", "sid", "n", "left", "label")
+    one, other = (cut.select("v", "step", *(F.col(c).alias(f"{c}_{x}") for c in ("own", "sid", "n", "left", "label"))) for x in "ab")
+    two = one.alias("one").join(other.alias("other"), (F.col("one.v") == F.col("other.v")) & (F.col("one.step") == F.col("other.step")) & (F.col("label_a") < F.col("label_b")) & (F.col("one.step") == F.greatest("own_a", "own_b")) & _room(F.col("n_a"), F.col("n_b"), F.col("left_a"), F.col("left_b"), True))
+    return two.select(F.col("sid_a").alias("a"), F.col("sid_b").alias("b")).distinct()
 
 
 def confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
@@ -161,49 +211,68 @@ def confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFram
     return full.where(DEN * shared >= NUM * (F.col("na") + F.col("nb") - shared)).select("a", "b")
 
 
+def relabelled(keys: DataFrame, labels: DataFrame) -> DataFrame:
+    """The keys with their classes' components (a class without a link is its own), of lists that hold several."""
+    named = keys.drop("label").join(labels.select(F.col("node").alias("sid"), "label"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
+    several = named.groupBy("v").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("v")
+    return named.join(several, "v", "left_semi")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: id, tk (xxhash64 of the text), n_shingles, component_id.
 
     component_id is the smallest id among the rows that a row is linked to, directly or over others.
     A text without words (null, empty, white space) is linked with nothing: its component is its own
     id. Rows without an id share the class of rows of the same words; a class that only such rows hold
-    is linked with nothing. Repeated rows get the same result. Columns other than id and text are ignored.
+    is linked with nothing. Repeated rows get the same result. Texts of any length are taken whole: a
+    long one is one row of its shingles' hashes. Columns other than id and text are ignored. Ids are
+    whole numbers, or what a cast to long turns into one; other ids are an error.
     """
-    members = stored(sketches(docs, id_col, text_col), "near-members")
-    classes = members.where("sid IS NOT NULL").groupBy("sid").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
-    classes = stored(classes, "near-classes")
-    active = _met(_keys(classes), "near-sketch").select("sid").distinct().join(classes.select("sid", "rep"), "sid")
-    sets = full_sets(docs, id_col, text_col, Bloom.of(active.where("rep IS NOT NULL"), "rep"))
-    sets = stored(sets.join(active.select("sid"), "sid", "left_semi").dropDuplicates(["sid"]), "near-sets")
-    keys = _met(_full_keys(sets), "near-full")
-
-    limit = keys.count()
-    edges: DataFrame | None = None
-    labelled = keys.withColumn("label", F.col("sid"))
-    turn, before = 0, None
+    spark = docs.sparkSession
+    small_batches(spark)
+    steps = Steps(spark)
+    found = steps.put(sketches(docs, id_col, text_col), "near-sketches")
+    classes = steps.put(found.where("sid IS NOT NULL").groupBy("sid").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "near-classes")
+    members = steps.put(found.drop("sketch"), "near-members")
+    steps.drop(found)
+
+    keys = steps.put(sketch_keys(classes, steps), "near-keys")
+    several = keys.groupBy("v").agg(F.count("*").alias("m")).where("m > 1").select("v")
+    lists = steps.put(keys.withColumn("label", F.col("sid")).join(several, "v", "left_semi"), "near-lists")
+    active = steps.put(lists.select("sid").distinct().join(classes.select("sid", "rep"), "sid"), "near-active")
+    steps.drop_all_but(classes, members, lists, active)
+    wanted = sent(spark, Bloom.of(active.where("rep IS NOT NULL"), "rep"))
+    sets = steps.put(full_sets(docs, id_col, text_col, wanted).join(active.select("sid"), "sid", "left_semi").dropDuplicates(["sid"]), "near-sets")
+
+    edges = steps.put(confirmed(pivot_pairs(lists, 0, False), classes, sets), "near-edges")
+    labels = components(edges, steps)
+    open_ = relabelled(lists, labels).select("sid").distinct()
+    keys = steps.put(full_keys(sets.join(open_, "sid", "left_semi"), steps), "near-full-keys")
+    steps.drop(lists, active)
+    turn = 0
     while True:
-        per_label = labelled.groupBy("v", "label").agg(F.count("*").alias("c"))
-        per_value = per_label.groupBy("v").agg(F.sum("c").cast("double").alias("c"), F.sum(F.col("c").cast("double") * F.col("c")).alias("s"))
-        open_pairs = per_value.agg(F.sum(F.col("c") * F.col("c") - F.col("s")) / 2).first()[0] or 0
-        done = open_pairs <= limit or before is not None and open_pairs > 0.8 * before
-        if done:
-            one, other = (labelled.select(F.col("v").alias(f"v{x}"), F.col("sid").alias(x), F.col("label").alias(f"label_{x}")) for x in "ab")
-            pairs = one.join(other, (F.col("va") == F.col("vb")) & (F.col("label_a") < F.col("label_b"))).select("a", "b").distinct()
+        old, lists = lists, steps.put(relabelled(keys if not turn else lists, labels), f"near-full-lists{turn}")
+        if turn:
+            steps.drop(old)
         else:
-            pivot = labelled.groupBy("v").agg(F.min(F.struct(F.xxhash64("sid", F.lit(turn)).alias("h"), "sid", "label")).alias("p"))
-            pairs = labelled.join(pivot, "v").where(F.col("label") != F.col("p.label")).select(F.col("sid").alias("a"), F.col("p.sid").alias("b")).distinct()
-        found = stored(confirmed(pairs, classes, sets), f"near-edges{turn}")
-        edges = found if edges is None else edges.union(found)
-        labels = components(edges)
-        if done:
+            steps.drop(keys)
+        more = steps.put(confirmed(pivot_pairs(lists, turn, True), classes, sets), f"near-edges{turn}")
+        linked = more.limit(1).count()
+        if not linked:
+            more = steps.put(confirmed(all_pairs(lists), classes, sets), "near-edges-rest")
+            if not more.limit(1).count():
+                break
+        before, edges = edges, steps.put(edges.union(more), f"near-edges-to{turn}")
+        former, labels = labels, components(edges, steps)
+        steps.drop(before, more, former)
+        if not linked:
             break
-        before = open_pairs
         turn += 1
-        labelled = stored(keys.join(labels.select(F.col("node").alias("sid"), "label"), "sid", "left").select("v", "sid", F.coalesce("label", "sid").alias("label")), f"near-labels{turn}")
 
     named = classes.select("sid", "rep").join(labels.select(F.col("node").alias("sid"), "label"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
     names = named.groupBy("label").agg(F.min("rep").alias("component_id"))
-    by_class = named.join(names, "label").select("sid", "component_id")
+    by_class = steps.put(named.join(names, "label").select("sid", "component_id"), "near-components")
+    steps.drop_all_but(members, by_class)
     out = members.join(by_class, "sid", "left")
     return out.select("id", "tk", F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
 
@@ -211,15 +280,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs, all columns as they were, of which one document of each group stays: that of the smallest id.
 
-    Rows without an id stay unless they are linked to a row with one. Repeated rows of one id stay together.
+    Rows without an id stay unless they are linked to a row with one. Repeated rows of one id stay
+    together. Null, empty and very long texts are taken as near_duplicates() says. Columns may have any names.
     """
     found = near_duplicates(docs, id_col, text_col)
     gone = found.where((F.col("n_shingles") > 0) & F.col("component_id").isNotNull() & ~F.col("id").eqNullSafe(F.col("component_id"))).select("id", "tk").distinct()
-    named = gone.select(F.col("id").alias("_id"), F.col("tk").alias("_tk"))
-    return docs.join(named, F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_tk")), "left_anti")
+    inside = docs.select(F.struct(*docs.columns).alias("doc"), F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("doc_tk"))
+    return inside.join(gone, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("doc_tk") == F.col("tk")), "left_anti").select("doc.*")
 
 
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its set's size, its component and whether it is the one that stays."""
     got = near_duplicates(table(spark, sf_dir, "documents"))
     return got.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
 

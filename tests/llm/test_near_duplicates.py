@@ -63,8 +63,23 @@ def test_equals_brute_force(spark, write):
         assert sorted(((r.id, r.n_shingles, r.component_id) for r in got), key=str) == brute(docs)
 
 
+def alike(seed, size, own, edited):
+    """Documents that share a passage: their similarities lie on both sides of the threshold, no original among them."""
+    r = random.Random(seed)
+    passage = [f"p{seed}x{k}" for k in range(160)]
+    return [(k, " ".join(edits(r, passage, edited) + [f"o{seed}x{k}x{j}" for j in range(own)])) for k in range(size)]
+
+
+def test_groups_below_the_threshold(spark, write):
+    docs = alike(1, 300, 25, 1) + [(1000 + i, t) for i, t in alike(2, 100, 0, 5)] + [(2000 + i, t) for i, t in alike(3, 60, 14, 0)]
+    got = nd.near_duplicates(nd.table(spark, write(documents=docs), "documents")).collect()
+    want = brute(docs)
+    assert sorted(((r.id, r.n_shingles, r.component_id) for r in got), key=str) == want
+    assert len({c for i, _, c in want if i < 1000}) > 250 and any(c != i for i, _, c in want)
+
+
 def test_dropping_keeps_columns_and_one_of_each(spark, write):
-    docs = nd.table(spark, write(documents=[(3, "a b c d e f g"), (1, "A b c d e f g"), (2, "x y z"), (4, None), (5, None), (None, "a b c d e f g"), (None, "other words")]), "documents").withColumnRenamed("lang", "sid")
+    docs = nd.table(spark, write(documents=[(3, "a b c d e f g"), (1, "A b c d e f g"), (2, "x y z"), (4, None), (5, None), (None, "a b c d e f g"), (None, "other words")]), "documents").withColumnRenamed("lang", "sid").withColumnRenamed("source", "_id").withColumnRenamed("n_chars", "id")
     kept = nd.drop_near_duplicates(docs)
     assert kept.columns == docs.columns and sorted((str(r.doc_id) for r in kept.collect())) == ["1", "2", "4", "5", "None"]
 
