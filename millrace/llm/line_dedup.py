@@ -13,7 +13,7 @@ Before that, lines without any partner are set aside: of two lines within one ed
 last half is the same, so a line whose halves occur in no other line emits nothing.
 """
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -22,13 +22,15 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import Bloom, stored, table, texts
+from millrace.llm.common import Bloom, Steps, free_name, give_back, sent, small_batches, table, texts
 
 MIN_WORDS = 8
 #: Order of rows without an id: after all others.
 LAST = (1 << 63) - 1
 #: Lines that a task remembers, so as not to emit the keys of a repeated line again.
 REMEMBERED = 300_000
+#: Words whose keys are made together; a longer line comes alone.
+WORDS = 1 << 15
 _BASES = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9)
 _KEY = ["h1", "h2"]
 
@@ -126,15 +128,16 @@ def corpus_lines(one: DataFrame) -> DataFrame:
     return one.mapInArrow(run, "i long, tk long, line int, h1 long, h2 long, halves array<long>")
 
 
-def deletion_keys(one: DataFrame, partnered: Bloom) -> DataFrame:
+def deletion_keys(one: DataFrame, partnered: Callable[[], Bloom]) -> DataFrame:
     """v1, v2, place, h1, h2, i, line for each line that may have a partner; whole lines carry their words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[int, tuple[int, int]] = {}
+        known = partnered()
         for ids, rows in texts(batches, "id", "text"):
             lines = Lines(rows)
             owner, keys = lines.halves()
-            may = np.unique(owner[partnered.has(keys)])
+            may = np.unique(owner[known.has(keys)])
             if not len(may):
                 continue
             h1, h2 = lines.hashes(lines.start, lines.end)
@@ -147,25 +150,26 @@ def deletion_keys(one: DataFrame, partnered: Bloom) -> DataFrame:
             if len(seen) > REMEMBERED:
                 seen = {}
             which = np.array(fresh, np.int64)
-            for at in range(0, len(which), 256):
-                own, place, v1, v2 = lines.neighbourhood(which[at : at + 256])
-                said = [b" ".join(lines.words[k]).decode() for k in which[at : at + 256].tolist()]
+            work = np.cumsum(lines.n[which]) // WORDS  # lines of some words are expanded together
+            for at in np.split(which, np.flatnonzero(np.diff(work)) + 1) if len(which) else ():
+                own, place, v1, v2 = lines.neighbourhood(at)
+                said = [b" ".join(lines.words[k]).decode() for k in at.tolist()]
                 yield pa.record_batch({"v1": _signed(v1), "v2": _signed(v2), "place": pa.array(place), "h1": _signed(h1[own]), "h2": _signed(h2[own]), "i": pa.array(i[own]), "line": pa.array(lines.line[own]), "words": pa.array(said + [None] * (len(own) - len(said)), pa.string())})
 
     return one.select("id", "text").mapInArrow(run, "v1 long, v2 long, place int, h1 long, h2 long, i long, line int, words string")
 
 
-def near_lines(keys: DataFrame) -> DataFrame:
+def near_lines(keys: DataFrame, steps: Steps) -> DataFrame:
     """h1, h2 of the lines that have an earlier line within one edit, verified on their words."""
     multi = keys.groupBy("v1", "v2").agg(F.min("h1").alias("low"), F.max("h1").alias("high"), F.min("h2").alias("low2"), F.max("h2").alias("high2")).where("low != high OR low2 != high2").select("v1", "v2")
     met = keys.join(multi, ["v1", "v2"]).groupBy("v1", "v2", "place", *_KEY).agg(F.min(F.struct("i", "line")).alias("o"))
-    met = stored(met, "lines-met")
+    met = steps.put(met, "lines-met")
     at_place = met.groupBy("v1", "v2", "place").agg(F.min(F.struct("o", *_KEY)).alias("same"))
     at_key = at_place.groupBy("v1", "v2").agg(F.min(F.when(F.col("place") >= 0, F.col("same"))).alias("less"), F.min(F.when(F.col("place") < 0, F.col("same"))).alias("whole"))
     both = met.join(at_place, ["v1", "v2", "place"]).join(at_key, ["v1", "v2"])
     partner = F.when(F.col("place") < 0, F.col("less")).otherwise(F.least("same", "whole"))  # least() passes over nulls
     pairs = both.withColumn("p", partner).where(F.col("p.o") < F.col("o")).select(*_KEY, F.col("p.h1").alias("p1"), F.col("p.h2").alias("p2")).distinct()
-    said = stored(keys.where("place = -1").groupBy(*_KEY).agg(F.min("words").alias("words")), "lines-words")
+    said = steps.put(keys.where("place = -1").groupBy(*_KEY).agg(F.min("words").alias("words")), "lines-words")
     pairs = pairs.join(said, _KEY).join(said.select(F.col("h1").alias("p1"), F.col("h2").alias("p2"), F.col("words").alias("earlier")), ["p1", "p2"])
 
     def verify(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -177,12 +181,19 @@ def near_lines(keys: DataFrame) -> DataFrame:
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """i, tk, exact and near (sorted line numbers from 0): what each text loses; texts that lose nothing have no row."""
+    small_batches(docs.sparkSession)
+    steps = Steps(docs.sparkSession)
     one = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("tk"), F.col(text_col).alias("text"))
-    lines = stored(corpus_lines(one), "lines")
-    halves = lines.select("h1", "h2", F.explode("halves").alias("k"))
+    found = steps.put(corpus_lines(one), "lines-halves")
+    halves = found.select("h1", "h2", F.explode("halves").alias("k"))
     shared = halves.groupBy("k").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).where("low != high")
-    keys = stored(deletion_keys(one, Bloom.of(shared, "k")), "lines-keys")
-    near = near_lines(keys).withColumn("near", F.lit(True))
+    shared = steps.put(shared.select("k"), "lines-shared")
+    partnered = sent(docs.sparkSession, Bloom.of(shared, "k"))
+    lines = steps.put(found.drop("halves"), "lines")
+    steps.drop(found, shared)
+    keys = steps.put(deletion_keys(one, partnered), "lines-keys")
+    near = steps.put(near_lines(keys, steps).withColumn("near", F.lit(True)), "lines-near")
+    steps.drop_all_but(lines, near)
     first = lines.groupBy(*_KEY).agg(F.min(F.struct("i", "line")).alias("o"), F.count("*").alias("n"))
     first = first.join(near, _KEY, "left").where("n > 1 OR near").select(*_KEY, "o", F.coalesce("near", F.lit(False)).alias("near"))
     gone = lines.select("i", "tk", "line", *_KEY).join(first, _KEY).where(F.col("near") | (F.col("o") < F.struct("i", "line"))).select("i", "tk", "line", "near")
@@ -195,27 +206,36 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     A null text stays null and counts as empty. A text of any length is one row, its lines are joined
     by line feeds as before. Rows of one id are one document: equal lines in them drop neither. Rows
-    without an id come last in the order.
+    without an id come last in the order; ids are whole numbers (others are an error) below 2^63 - 1,
+    which counts as none. If docs has a column `lines`, the new one has underscores behind its name
+    (free_name()).
     """
     gone = dropped_lines(docs, id_col, text_col).select(F.col("i").alias("_i"), F.col("tk").alias("_tk"), "exact", "near")
 
     def rebuild(columns: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
-        for text, exact, near in columns:
-            kept, n = [], []
-            for t, a, b in zip(text.to_pylist(), exact.to_pylist(), near.to_pylist(), strict=True):
-                rows = (t or "").split("\n")
-                drop = {*(a or ()), *(b or ())}
-                kept.append(t if not drop else "\n".join(x for k, x in enumerate(rows) if k not in drop))
-                n.append(sum(bool(x.encode().split()) for x in rows))
-            yield pa.StructArray.from_arrays([pa.array(kept, pa.string()), pa.array(n, pa.int64()), pa.array([len(a or ()) for a in exact.to_pylist()], pa.int64()), pa.array([len(b or ()) for b in near.to_pylist()], pa.int64())], ["kept", "n_lines", "n_exact", "n_near"])
+        give_back()
+        for whole in columns:
+            parts = []
+            for at in range(0, len(whole[0]), 512):
+                kept, n = [], []
+                text, exact, near = (x.slice(at, 512).to_pylist() for x in whole)
+                for t, a, b in zip(text, exact, near, strict=True):
+                    rows = (t or "").split("\n")
+                    drop = {*(a or ()), *(b or ())}
+                    kept.append(t if not drop else "\n".join(x for k, x in enumerate(rows) if k not in drop))
+                    n.append(sum(bool(x.encode().split()) for x in rows))
+                parts.append(pa.StructArray.from_arrays([pa.array(kept, pa.string()), pa.array(n, pa.int64()), pa.array([len(a or ()) for a in exact], pa.int64()), pa.array([len(b or ()) for b in near], pa.int64())], ["kept", "n_lines", "n_exact", "n_near"]))
+            yield pa.concat_arrays(parts) if parts else pa.array([], pa.struct([("kept", pa.string()), ("n_lines", pa.int64()), ("n_exact", pa.int64()), ("n_near", pa.int64())]))
+        give_back()
 
     i = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST))
     joined = docs.select(F.struct(*docs.columns).alias("_doc"), F.col(text_col).alias("_text"), i.alias("_i"), F.xxhash64(text_col).alias("_tk")).join(gone, ["_i", "_tk"], "left")
     lines = F.arrow_udf(rebuild, "kept string, n_lines long, n_exact long, n_near long")("_text", "exact", "near")
-    return joined.select("_doc.*", lines.alias("lines"))
+    return joined.select("_doc.*", lines.alias(free_name(docs, "lines")))
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document keeps of its lines."""
     got = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     x = F.col("lines")
     kept = F.coalesce(x["kept"], F.lit(""))

@@ -5,8 +5,9 @@ normaliser (its precompiled character map, white space rules), the metaspace mar
 their scores as a unigram model or, for BPE models, as merges in order of score, and byte fallback.
 
 Where no piece holds the marker behind another character, no piece crosses the gap between words, so
-words are encoded apart: each task encodes a word once, in multithreaded batches, and looks it up
-from then on. Other models get whole texts.
+words are encoded apart: the words of some texts are encoded once, in multithreaded batches, and those
+that the next texts hold too are looked up. Other models get whole texts. What a task remembers is
+bounded in bytes and gone when it ends.
 """
 
 import hashlib
@@ -14,7 +15,7 @@ import heapq
 import struct
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, islice
 from typing import Any
 
 import numpy as np
@@ -24,14 +25,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, models, normalizers
 
-from millrace.llm.common import per_process, table, texts
+from millrace.llm.common import free_name, give_back, per_process, pieces, small_batches, table, texts
 
 MARK = "▁"
 #: Fixed values of the model format: kinds of pieces and of models.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-#: Words that a worker remembers: when as many are new, those not used since the last such time are forgotten.
-REMEMBERED = 150_000
+#: What is remembered from one piece of work to the next: so many words of so many characters at most, some 20 MB.
+REMEMBERED, LONGEST = 60_000, 32
+#: Characters that the library gets at once; a longer word comes alone.
+AT_ONCE = 1 << 18
 
 
 def fields(data: bytes) -> Iterator[tuple[int, Any]]:
@@ -133,7 +136,6 @@ class Codec:
         self.tokenizer = m.tokenizer()
         self.normal = m.normalizer()
         self.seen: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
         self.numbers = list(range(len(m.pieces)))  # one object for each id, however many words hold it
         byte = {i: int(p[3:5], 16) for i, (p, k) in enumerate(zip(m.pieces, m.kinds)) if k == BYTE}
         surface = []
@@ -154,7 +156,7 @@ class Codec:
 
     @classmethod
     def shared(cls, data: bytes) -> "Codec":
-        """One codec, with the words it has seen, for all tasks of a worker."""
+        """One codec for all tasks of a worker."""
         return per_process(f"codec {hashlib.sha256(data).hexdigest()}", lambda: cls(data))
 
     def normalize(self, text: str) -> str:
@@ -211,28 +213,30 @@ class Codec:
                 out.append(self.model.unk)
         return tuple(out)
 
-    def _learn(self, keys: list[str]) -> None:
-        marked = [k[1:] if k[0] == " " else MARK + k for k in keys]
-        tied = [self.model.type == BPE and (self.ties_everywhere or MARK * 2 in w) for w in marked]
-        easy = [w for w, t in zip(marked, tied, strict=True) if not t]
-        got = iter(self.tokenizer.encode_batch_fast(easy, add_special_tokens=False))
-        for key, w, t in zip(keys, marked, tied, strict=True):
-            self.seen[key] = tuple(map(self.numbers.__getitem__, self._merge(w) if t else next(got).ids))
+    def _learn(self, keys: list[str], into: dict[str, tuple[int, ...]]) -> None:
+        for some in pieces(keys, AT_ONCE, 1 << 14):
+            marked = [k[1:] if k[0] == " " else MARK + k for k in some]
+            tied = [self.model.type == BPE and (self.ties_everywhere or MARK * 2 in w) for w in marked]
+            easy = [w for w, t in zip(marked, tied, strict=True) if not t]
+            got = iter(self.tokenizer.encode_batch_fast(easy, add_special_tokens=False))
+            for key, w, t in zip(some, marked, tied, strict=True):
+                into[key] = tuple(map(self.numbers.__getitem__, self._merge(w) if t else next(got).ids))
+
+    def forget(self) -> None:
+        self.seen = {}
 
     def encode(self, rows: list[str]) -> list[list[int]]:
         """Ids of each text, whole; texts may be empty."""
+        return list(chain.from_iterable(map(self._encode, pieces(rows))))
+
+    def _encode(self, rows: list[str]) -> list[list[int]]:
         split = [self._words(self.normalize(t)) for t in rows]
-        if len(self.seen) > REMEMBERED:
-            self.seen, self.older = {}, self.seen
-        new = set().union(*split).difference(self.seen)
-        if self.older:
-            known = new & self.older.keys()
-            self.seen.update((w, self.older[w]) for w in known)
-            new -= known
-        if new:
-            self._learn(list(new))
-        get, unk = self.seen.__getitem__, self.model.unk
-        out = [list(chain.from_iterable(map(get, ws))) for ws in split]
+        words = set().union(*split)
+        here = {w: self.seen[w] for w in words & self.seen.keys()}
+        self._learn([w for w in words if w not in here], here)
+        out = [list(chain.from_iterable(map(here.__getitem__, ws))) for ws in split]
+        self.seen = dict(islice(((w, ids) for w, ids in here.items() if len(w) <= LONGEST), REMEMBERED))
+        unk = self.model.unk
         if not self.model.byte_fallback:  # a run of unknown characters is one piece, across words too
             out = [[i for k, i in enumerate(ids) if i != unk or not k or ids[k - 1] != unk] if unk in ids else ids for ids in out]
         return out
@@ -307,8 +311,11 @@ def default_model() -> bytes:
 def encode_texts(docs: DataFrame, model: bytes | None = None, text_col: str = "text") -> DataFrame:
     """The rows of docs, all columns as they were, with `token_ids` (array of int). Null and empty texts have none.
 
+    Texts of any length are encoded whole; repeated rows get the same ids. If docs has a column
+    `token_ids`, the new one has underscores behind its name (free_name()).
     model: the bytes of a model file (some hundred KB), read once on the driver and broadcast.
     """
+    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model or default_model())
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -317,12 +324,15 @@ def encode_texts(docs: DataFrame, model: bytes | None = None, text_col: str = "t
             got = [ids for at in range(0, len(part), 512) for ids in codec.encode([t or "" for t in part.slice(at, 512).to_pylist()])]
             ids, sizes = flat(got)
             yield pa.ListArray.from_arrays(sizes, ids)
+        codec.forget()
+        give_back()
 
-    return docs.withColumn("token_ids", F.arrow_udf(run, "array<int>")(F.col(text_col)))
+    return docs.withColumn(free_name(docs, "token_ids"), F.arrow_udf(run, "array<int>")(F.col(text_col)))
 
 
 def decode_ids(tokens: DataFrame, model: bytes | None = None, ids_col: str = "token_ids") -> DataFrame:
-    """The rows of tokens with `decoded`; null ids decode to an empty text."""
+    """The rows of tokens with `decoded` (or that with underscores, free_name()); null ids decode to an empty text."""
+    small_batches(tokens.sparkSession)
     sent = tokens.sparkSession.sparkContext.broadcast(model or default_model())
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -331,7 +341,7 @@ def decode_ids(tokens: DataFrame, model: bytes | None = None, ids_col: str = "to
             ids, sizes = flat([x or [] for x in part.to_pylist()])
             yield pa.array(codec.decode_batch(ids, sizes), pa.string())
 
-    return tokens.withColumn("decoded", F.arrow_udf(run, "string")(F.col(ids_col)))
+    return tokens.withColumn(free_name(tokens, "decoded"), F.arrow_udf(run, "string")(F.col(ids_col)))
 
 
 def parity(docs: DataFrame, model: bytes | None = None, text_col: str = "text") -> DataFrame:
@@ -346,6 +356,7 @@ def parity(docs: DataFrame, model: bytes | None = None, text_col: str = "text")
             mine, theirs = own.encode([t or "" for t in rows]), other.encode([t or "" for t in rows])
             back = [(own.decode(a), other.decode(a)) for a in mine]
             yield pa.record_batch({"n": [len(rows)], "ids": [sum(a != b for a, b in zip(mine, theirs))], "dec": [sum(a != b for a, b in back)]})
+        own.forget()
 
     got = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "n long, ids long, dec long")
     return got.agg(F.sum("n").alias("n_texts"), F.sum("ids").alias("n_ids"), F.sum("dec").alias("n_decoded"))
@@ -353,6 +364,7 @@ def parity(docs: DataFrame, model: bytes | None = None, text_col: str = "text")
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded, decoded again, and compared with what the normaliser makes of it."""
+    small_batches(spark)
     sent = spark.sparkContext.broadcast(default_model())
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -373,6 +385,7 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "round_trip": pa.array([d == codec.normalize(t) for d, t in zip(decoded, whole, strict=True)], pa.bool_()),
                 }
             )
+        codec.forget()
 
     return table(spark, sf_dir, "documents").select("doc_id", "text").mapInArrow(rows, "doc_id long, n_tokens long, ids_sha256 string, n_byte_tokens long, decoded_sha256 string, round_trip boolean")
 
