@@ -3,13 +3,14 @@
 The normalised test n-grams go to the executors as a hash set inside the plan (checked size);
 every training window is looked up in it where the text is read, so only windows that hit ever
 become rows. Hits are then verified by joining on the window's text. A benchmark whose set is
-too large for that goes the other way: all windows become rows and meet it in a shuffled join.
+too large for that goes another way: windows become rows of a hash and a place, which meet the set's
+hashes in a join, and only hits are verified on their texts.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import table, words
+from millrace.llm.common import Steps, table, words
 
 WINDOW = 13
 #: Windows of the benchmark that may travel inside the plan (8 bytes each).
@@ -39,37 +40,56 @@ def scan(docs: DataFrame, benchmark: DataFrame, keep: list[str], text_col: str =
     """Every row of docs with the columns `keep`, n_words, n_hit, items (sorted strings) and spans (start, end of hit words).
 
     Rows stay apart whatever their ids: repeated rows each get their own result. A null or empty
-    text has no words and no hits.
+    text has no words and no hits; texts of any length are scanned whole.
     """
-    wins = benchmark_windows(benchmark, window=window).cache()
-    try:
-        size = wins.count()
-        lengths = sorted(r[0] for r in wins.select("len").distinct().collect())  # at most `window` values
-        in_plan = size <= max_in_plan
-        sets = {n: [] for n in lengths}
-        if in_plan:
-            for r in wins.select("len", "h").collect():
-                sets[r["len"]].append(r["h"])
-    finally:
-        wins.unpersist()
-    rows = docs.select(F.monotonically_increasing_id().alias("_row"), *(F.col(k) for k in keep), words(F.col(text_col)).alias("_w"))
+    steps = Steps(docs.sparkSession)
+    wins = steps.put(benchmark_windows(benchmark, window=window), "benchmark-windows")
+    size = wins.count()
+    lengths = sorted(r[0] for r in wins.select("len").distinct().collect())  # at most `window` values
+    rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.struct(*(F.col(k) for k in keep)).alias("_keep"), F.col(text_col).alias("_text"))
+    found = _in_plan(rows, wins, lengths) if size <= max_in_plan else _joined(steps.put(rows, "benchmark-rows"), wins, lengths)
+    start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("to"))
+    union = F.aggregate("spans", start, lambda a, x: F.struct((a["n"] + F.greatest(x["to"] - F.greatest(x["at"], a["to"]), F.lit(0))).alias("n"), F.greatest(a["to"], x["to"]).alias("to")))
+    return found.select("_keep.*", "n_words", union["n"].alias("n_hit"), "items", "spans")
+
+
+def _starts(n: int) -> Column:
+    return F.when(F.size("_w") >= n, F.sequence(F.lit(0), F.size("_w") - n)).otherwise(F.array().cast("array<int>"))
+
+
+def _in_plan(rows: DataFrame, wins: DataFrame, lengths: list[int]) -> DataFrame:
+    """_keep, n_words, items and spans of each row; the windows' hashes are part of the plan."""
+    sets: dict[int, list[int]] = {n: [] for n in lengths}
+    for r in wins.select("len", "h").collect():
+        sets[r["len"]].append(r["h"])
 
     def places(n: int) -> Column:
-        starts = F.when(F.size("_w") >= n, F.sequence(F.lit(0), F.size("_w") - n)).otherwise(F.array().cast("array<int>"))
-        if in_plan:
-            starts = F.filter(starts, lambda p: F.xxhash64(F.slice("_w", p + 1, n)).isin(sets[n]))
+        starts = F.filter(_starts(n), lambda p: F.xxhash64(F.slice("_w", p + 1, n)).isin(sets[n]))
         return F.transform(starts, lambda p: F.struct(p.alias("at"), F.lit(n).alias("len"), F.array_join(F.slice("_w", p + 1, n), " ").alias("win")))
 
     none = F.array().cast("array<struct<at:int,len:int,win:string>>")
-    found = rows.select("_row", *keep, F.size("_w").cast("long").alias("n_words"), (F.concat(none, *map(places, lengths)) if lengths else none).alias("_c"))
-    hits = found.select("_row", *keep, "n_words", F.explode_outer("_c").alias("_c")).select("_row", *keep, "n_words", F.col("_c.at").alias("at"), F.col("_c.len").alias("len"), F.col("_c.win").alias("win"))
-    right = wins.select("win", "items")
-    hits = hits.join(F.broadcast(right) if in_plan else right, "win", "left")
+    split = rows.select("_row", "_keep", words(F.col("_text")).alias("_w"))
+    found = split.select("_row", "_keep", F.size("_w").cast("long").alias("n_words"), (F.concat(none, *map(places, lengths)) if lengths else none).alias("_c"))
+    hits = found.select("_row", "_keep", "n_words", F.explode_outer("_c").alias("_c")).select("_row", "_keep", "n_words", F.col("_c.at").alias("at"), F.col("_c.len").alias("len"), F.col("_c.win").alias("win"))
+    hits = hits.join(wins.select("win", "items"), "win", "left")  # Spark broadcasts the windows if their bytes allow it
     one = F.when(F.col("items").isNotNull(), F.struct("at", (F.col("at") + F.col("len")).alias("to")))
-    done = hits.groupBy("_row", *keep, "n_words").agg(F.sort_array(F.collect_set(one)).alias("spans"), F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
-    start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("to"))
-    union = F.aggregate("spans", start, lambda a, x: F.struct((a["n"] + F.greatest(x["to"] - F.greatest(x["at"], a["to"]), F.lit(0))).alias("n"), F.greatest(a["to"], x["to"]).alias("to")))
-    return done.select(*keep, "n_words", union["n"].alias("n_hit"), "items", "spans")
+    return hits.groupBy("_row", "_keep", "n_words").agg(F.sort_array(F.collect_set(one)).alias("spans"), F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+
+
+def _joined(rows: DataFrame, wins: DataFrame, lengths: list[int]) -> DataFrame:
+    """The same by a join: of stored rows, each window becomes a row of its hash; texts aren't moved but for rows with hits."""
+
+    def places(n: int) -> Column:
+        return F.transform(_starts(n), lambda p: F.struct(p.alias("at"), F.lit(n).alias("len"), F.xxhash64(F.slice("_w", p + 1, n)).alias("h")))
+
+    split = rows.select("_row", words(F.col("_text")).alias("_w"))
+    each = split.select("_row", F.explode(F.concat(*map(places, lengths))).alias("_c")).select("_row", "_c.at", "_c.len", "_c.h")
+    may = each.join(wins, ["h", "len"]).groupBy("_row").agg(F.collect_list(F.struct("at", "len", "win", "items")).alias("_may"))
+    both = rows.join(may, "_row", "left").select("_row", "_keep", words(F.col("_text")).alias("_w"), "_may")
+    real = F.filter(F.coalesce("_may", F.array().cast(may.schema["_may"].dataType)), lambda c: F.array_join(F.slice("_w", c["at"] + 1, c["len"]), " ") == c["win"])
+    both = both.select("_keep", F.size("_w").cast("long").alias("n_words"), real.alias("_c"))
+    spans = F.sort_array(F.array_distinct(F.transform("_c", lambda c: F.struct(c["at"].alias("at"), (c["at"] + c["len"]).alias("to")))))
+    return both.select("_keep", "n_words", spans.alias("spans"), F.sort_array(F.array_distinct(F.flatten(F.transform("_c", lambda c: c["items"])))).alias("items"))
 
 
 def contaminated() -> Column:
@@ -77,20 +97,21 @@ def contaminated() -> Column:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of docs, all columns as they were, without contaminated documents."""
-    inside = docs.select(F.struct(*docs.columns).alias("_doc"), F.col(text_col).alias("_text"))
-    return scan(inside, benchmark, ["_doc"], "_text").where(~contaminated()).select("_doc.*")
+    """The rows of docs, all columns (whatever their names) as they were, without contaminated documents. Null and empty texts stay."""
+    inside = docs.select(F.struct(*docs.columns).alias("_doc"), F.col(text_col).alias("_said"))
+    return scan(inside, benchmark, ["_doc"], "_said").where(~contaminated()).select("_doc.*")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of docs with hit words cut from contaminated texts; words of those are joined by one space."""
-    inside = docs.select(F.struct(*docs.columns).alias("_doc"), F.col(text_col).alias("_text"), words(F.col(text_col)).alias("_said"))
-    got = scan(inside, benchmark, ["_doc", "_said"], "_text")
+    inside = docs.select(F.struct(*docs.columns).alias("_doc"), F.col(text_col).alias("_whole"), words(F.col(text_col)).alias("_said"))
+    got = scan(inside, benchmark, ["_doc", "_said"], "_whole")
     left = F.array_join(F.filter("_said", lambda w, i: ~F.exists("spans", lambda s: (s["at"] <= i) & (i < s["to"]))), " ")
     return got.select(*(F.when(contaminated(), left).otherwise(F.col(f"_doc.{c}")).alias(c) if c == text_col else F.col(f"_doc.{c}") for c in docs.columns))
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its hit words, the items found in it and whether the rule marks it."""
     got = scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"])
     return got.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), contaminated().alias("contaminated"))
 
