@@ -3,12 +3,15 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read
 again as the next stage's docs. All but the last return the columns of documents. Null and empty
 texts pass every stage: they are not toxic, lose no line, are like nothing and hold no benchmark.
+Texts of any length are taken whole. Repeated rows of one id share every decision; equal texts and
+ties go to the smaller id. Empty tables give empty results. Further columns, whatever their names,
+are kept up to the last stage.
 """
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import WRITTEN, remove, stored, table
+from millrace.llm.common import WRITTEN, free_name, remove, stored, table
 from millrace.llm.decontaminate import decontaminate
 from millrace.llm.line_dedup import dedup_lines
 from millrace.llm.near_duplicates import drop_near_duplicates
@@ -18,14 +21,14 @@ from millrace.llm.toxicity import REJECT, fit, score_toxicity
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score reaches REJECT go."""
-    model = fit(docs, table(spark, sf_dir, "labels"))
-    return score_toxicity(docs, model).where(F.col("toxicity.score") < REJECT).drop("toxicity")
+    model, name = fit(docs, table(spark, sf_dir, "labels")), free_name(docs, "toxicity")
+    return score_toxicity(docs, model).where(F.col(name)["score"] < REJECT).drop(name)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that stand earlier go; so do documents that had words and lost every line with words."""
     got = dedup_lines(docs)
-    lines = F.col("lines")
+    lines = F.col(free_name(docs, "lines"))
     empty = (lines["n_lines"] > 0) & (lines["n_exact"] + lines["n_near"] == lines["n_lines"])
     changed = lines["n_exact"] + lines["n_near"] > 0
     new = {"text": lines["kept"], "n_chars": F.when(changed, F.length(lines["kept"]).cast("long")).otherwise(F.col("n_chars"))}
