@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 #: White space, word characters and digits as Unicode has them, for Java's and RE2's regular expressions.
 WS = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 WS_IN_LINE = r"[\t\x0b-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+#: The same white space as characters.
+WS_CHARS = "".join(map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 WORD = r"[\p{L}\p{N}_]"
 DIGIT = r"\p{Nd}"
 
@@ -25,15 +27,15 @@ def nfkc(text: Column) -> Column:
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, rf"\A{WS}+|{WS}+\z", "")
+    return F.btrim(text, F.lit(WS_CHARS))
 
 
 def rstrip(text: Column) -> Column:
-    return F.regexp_replace(text, rf"{WS}+\z", "")
+    return F.rtrim(text, F.lit(WS_CHARS))
 
 
 def lstrip(text: Column) -> Column:
-    return F.regexp_replace(text, rf"\A{WS}+", "")
+    return F.ltrim(text, F.lit(WS_CHARS))
 
 
 def unix_lines(text: Column) -> Column:
@@ -42,7 +44,8 @@ def unix_lines(text: Column) -> Column:
 
 def _tidy(text: Column) -> Column:
     text = F.regexp_replace(text, r"\n{3,}", "\n\n")
-    return strip(F.regexp_replace(text, rf"{WS_IN_LINE}+(?=\n|\z)", ""))
+    # a match starts where a run does and never gives back: linear in the text
+    return strip(F.regexp_replace(text, rf"(?<!{WS_IN_LINE}){WS_IN_LINE}++(?=\n|\z)", ""))
 
 
 def normalize_text(text: Column, unicode: bool = True) -> Column:

@@ -1,8 +1,8 @@
 """Keyword retrieval over both tiers.
 
-Questions are few and entries many: the terms travel to the entries (their size is checked), and a
-score counts the terms that an entry's text contains. A larger question set is dealt out with the
-entries in blocks by the same join.
+Questions are few and entries many: the different terms of all questions travel to the entries in
+blocks of bounded size, each entry yields the terms that it contains, and these meet their questions
+by equality. A score counts the terms of a question that an entry's text contains.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -12,8 +12,8 @@ from millrace.functions.text import WS
 
 #: Fixed value: words longer than this are terms, measured before punctuation goes.
 TERM_LENGTH = 4
-#: Terms that may be broadcast.
-MAX_BROADCAST = 100_000
+#: Terms of a block, and the bytes of all blocks that may be broadcast.
+BLOCK, MAX_BROADCAST = 4096, 8 << 20
 
 
 def terms(question: Column, longer_than: int = TERM_LENGTH) -> Column:
@@ -25,15 +25,16 @@ def terms(question: Column, longer_than: int = TERM_LENGTH) -> Column:
 def scored(questions: DataFrame, entries: DataFrame, key: str, text: Column, longer_than: int = TERM_LENGTH) -> DataFrame:
     """questions (question_id, question) x entries -> question_id, key, score of the entries that contain a term.
 
-    All terms of a question meet an entry in one row, so the join makes a row per question and entry
-    at most and no second shuffle counts terms.
+    Keys of entries are unique. Work grows with the number of different terms, not with that of
+    questions; an entry that contains no term makes no row.
     """
-    q = questions.select("question_id", terms(F.col("question"), longer_than).alias("terms"))
-    size = q.agg(F.coalesce(F.sum(F.size("terms")), F.lit(0))).first()[0]
+    q = questions.select("question_id", F.explode(terms(F.col("question"), longer_than)).alias("term"))
+    n, size = q.select("term").distinct().agg(F.count("*"), F.coalesce(F.sum(F.octet_length("term")), F.lit(0))).first()
+    blocks = q.select("term").distinct().groupBy(F.pmod(F.xxhash64("term"), F.lit(max(1, -(-n // BLOCK)))).alias("_block")).agg(F.collect_list("term").alias("terms")).select("terms")
     e = entries.select(F.col(key), F.lower(text).alias("_text"))
-    hit = F.exists("terms", lambda t: F.contains("_text", t))
-    got = e.join(F.broadcast(q) if size <= MAX_BROADCAST else q, hit)
-    return got.select("question_id", key, F.size(F.filter("terms", lambda t: F.contains("_text", t))).alias("score"))
+    met = e.crossJoin(F.broadcast(blocks) if size <= MAX_BROADCAST else blocks)
+    held = met.select(key, F.explode(F.filter("terms", lambda t: F.contains("_text", t))).alias("term"))
+    return held.join(q, "term").groupBy("question_id", key).agg(F.count("*").cast("int").alias("score"))
 
 
 def catalog_text() -> Column:

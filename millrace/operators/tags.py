@@ -59,16 +59,18 @@ def orphan_tags(tags: DataFrame, chunks: DataFrame) -> DataFrame:
     return tags.join(chunks.select("chunk_id"), "chunk_id", "left_anti")
 
 
-def prune_descendants(matched: DataFrame, parents: DataFrame, depth: int = 16) -> DataFrame:
-    """matched (item, node) without nodes that have a matched ancestor; parents (node, parent) is the hierarchy.
+def prune_descendants(matched: DataFrame, parents: DataFrame) -> DataFrame:
+    """matched (item, node) without nodes that have a matched ancestor; parents (node, parent) is the hierarchy, of any depth.
 
-    The closure is built by doubling: each step joins the ancestors found so far with themselves.
+    The closure is built by doubling: each step joins the ancestors found so far with themselves, until
+    none is new. A hierarchy is small beside the data; its pairs stay on the executors.
     """
-    closure = parents.where("parent IS NOT NULL").select("node", F.col("parent").alias("ancestor"))
-    steps = max(1, depth - 1).bit_length()
-    for _ in range(steps):
+    closure = parents.where("parent IS NOT NULL").select("node", F.col("parent").alias("ancestor")).distinct().persist()
+    size, before = closure.count(), -1
+    while size > before:
         further = closure.join(closure.select(F.col("node").alias("ancestor"), F.col("ancestor").alias("far")), "ancestor").select("node", F.col("far").alias("ancestor"))
-        closure = closure.union(further).distinct()
+        closure = closure.union(further).distinct().persist()
+        before, size = size, closure.count()
     under = matched.join(closure, "node").select("item", "node", "ancestor").join(matched.select("item", F.col("node").alias("ancestor")), ["item", "ancestor"], "left_semi")
     return matched.join(under.select("item", "node").distinct(), ["item", "node"], "left_anti")
 

@@ -457,7 +457,7 @@ WIDE = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "c_name",
 
 
 @query(f"""
-WITH o AS (SELECT *, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) AS i FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE o_orderkey % 50 = 0)
+WITH o AS (SELECT *, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) AS i FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)
 SELECT o_orderstatus AS source_id, CAST(i AS INTEGER) AS block_id, '**Record ' || i || '**' || chr(10) || {" || chr(10) || ".join(f"'- {c}: ' || CAST({c} AS VARCHAR)" for c in WIDE[:-1])} || chr(10) || '- col12: z' AS content FROM o""")
 def wide_table_transpose(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
@@ -867,7 +867,7 @@ def table_word_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ly.outside_tables(part_words(spark, sf_dir), b).select("k")
 
 
-@query("""WITH c AS (SELECT CAST(l_orderkey AS VARCHAR) AS source_id, l_linenumber AS row, c AS col, CASE WHEN (l_linenumber + c) % 3 <> 1 THEN l_partkey || ':' || c END AS value FROM lineitem, unnest([1, 2, 3]) AS u(c) WHERE l_orderkey % 40 = 0)
+@query("""WITH c AS (SELECT CAST(l_orderkey AS VARCHAR) AS source_id, l_linenumber AS row, c AS col, CASE WHEN (l_linenumber + c) % 3 <> 1 THEN l_partkey || ':' || c END AS value FROM lineitem, unnest([1, 2, 3]) AS u(c))
 SELECT a.source_id, a.row, a.col, coalesce(t.value, a.value) AS value FROM c a LEFT JOIN c t ON t.source_id = a.source_id AND t.row = 1 AND t.col = 1 AND t.value IS NOT NULL AND a.row BETWEEN 1 AND 3 AND a.col BETWEEN 1 AND 2""")
 def merged_cell_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     l_ = table(spark, sf_dir, "lineitem")
@@ -889,7 +889,7 @@ def text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ly.text_density(i).select("source_id", "text_density", "diagram")
 
 
-@query(rf"""WITH p AS (SELECT CAST(doc_id AS VARCHAR) AS source_id, p, {s_normalize('ls[p]')} AS c FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE doc_id % 3 = 0), unnest(range(1, len(ls) + 1)) AS u(p))
+@query(rf"""WITH p AS (SELECT CAST(doc_id AS VARCHAR) AS source_id, p, {s_normalize('ls[p]')} AS c FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents), unnest(range(1, len(ls) + 1)) AS u(p))
 SELECT source_id, CAST(row_number() OVER (PARTITION BY source_id ORDER BY p) - 1 AS INTEGER) AS block_id, CASE WHEN length(c) < 80 AND NOT regexp_matches(c, '[.。!！?？;；]\z') THEN 'heading' ELSE 'paragraph' END AS type, length(c) AS n_chars, md5(c) AS digest FROM p WHERE c <> ''""")
 def ocr_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("source_id"), F.replace("text", F.lit("\n"), F.lit("\n\n")).alias("text"))

@@ -58,7 +58,11 @@ def read_cells(raw: Column, delimiter: str = ",") -> Column:
     """array<array<string>>: rows with at least one cell that isn't blank."""
 
     def cells(text: str) -> list[list[str]]:
-        return [r for r in csv.reader(io.StringIO(text, newline=""), delimiter=delimiter) if any(c.strip() for c in r)]
+        csv.field_size_limit(max(csv.field_size_limit(), len(text) + 1))
+        try:
+            return [r for r in csv.reader(io.StringIO(text, newline=""), delimiter=delimiter) if any(c.strip() for c in r)]
+        except csv.Error:  # no table: each line is one cell
+            return [[line] for line in text.split("\n") if line.strip()]
 
     return _map("array<array<string>>", cells, pa.list_(pa.list_(pa.string())))(raw)
 
@@ -154,9 +158,9 @@ def flatten(value: Any, prefix: str = "") -> str:
 def _json(text: str) -> dict:
     try:
         data = json.loads(text)
-    except ValueError as e:
+        return {"flat": flatten(data), "root": type(data).__name__, "warning": None}
+    except (ValueError, RecursionError) as e:  # too deep for the parser, too: the text is taken as it is
         return {"flat": None, "root": None, "warning": f"Invalid JSON, falling back to plain text: {e}"}
-    return {"flat": flatten(data), "root": type(data).__name__, "warning": None}
 
 
 def _yaml(text: str) -> dict:
@@ -166,9 +170,9 @@ def _yaml(text: str) -> dict:
         return {"flat": None, "root": None, "warning": "PyYAML not installed (pip install pyyaml); treating as plain text"}
     try:
         data = yaml.safe_load(text)
-    except yaml.YAMLError as e:
+        return {"flat": flatten(data) if isinstance(data, (dict, list)) else None, "root": type(data).__name__, "warning": None}
+    except (yaml.YAMLError, ValueError, TypeError, OverflowError, RecursionError) as e:  # impossible dates, keys that can't be hashed, depth
         return {"flat": None, "root": None, "warning": f"Invalid YAML, treating as plain text: {e}"}
-    return {"flat": flatten(data) if isinstance(data, (dict, list)) else None, "root": type(data).__name__, "warning": None}
 
 
 def _records(text: str) -> list[dict]:
@@ -179,7 +183,7 @@ def _records(text: str) -> list[dict]:
         try:
             out.append({"i": n, "flat": flatten(json.loads(line), f"record[{n}]"), "warning": None})
             n += 1
-        except ValueError as e:
+        except (ValueError, RecursionError) as e:
             out.append({"i": None, "flat": None, "warning": f"Line {i} is not valid JSON: {e}"})
     return out
 

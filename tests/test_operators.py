@@ -153,3 +153,11 @@ def test_columns(spark):
     df = spark.createDataFrame(w, "source_id string, page int, x0 double, x1 double, top double, bottom double, width double, text string")
     text = layout.page_text(df).first().text
     assert layout.two_column_pages(df).first().two_columns and text.index("L390") < text.index("R0")
+
+
+def test_ancestors_at_any_depth(spark):
+    from millrace.operators import tags
+
+    chain = spark.createDataFrame([(f"n{k}", f"n{k + 1}") for k in range(40)] + [("n40", None)], "node string, parent string")
+    matched = spark.createDataFrame([("i", "n0"), ("i", "n35"), ("j", "n0")], "item string, node string")
+    assert sorted(map(tuple, tags.prune_descendants(matched, chain).collect())) == [("i", "n35"), ("j", "n0")]

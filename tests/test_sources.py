@@ -246,3 +246,28 @@ def test_slides(spark):
 @pytest.mark.parametrize("text,want", [("a\r\nb", "a\nb"), ("  x  ", "x"), ("a\n\n\n\nb", "a\n\nb"), ("ﬁ  y", "fi  y"), ("t \t\nu", "t\nu")])
 def test_normalize(spark, text, want):
     assert spark.createDataFrame([(text,)], "t string").select(tx.normalize_text(F.col("t"))).first()[0] == want
+
+
+def test_odd_files_never_fail_a_task(spark):
+    deep, wide = "[" * 20_000 + "]" * 20_000, "a,b\n" + "x" * 140_000 + ",y"
+    rows = [("deep", deep), ("date", "a: 2021-99-99"), ("flow", "[" * 3000 + "]" * 3000), ("key", "? [1, 2]\n: 3")]
+    src = spark.createDataFrame(rows, "source_id string, raw string")
+    for read in (structured.json_blocks, structured.yaml_blocks):
+        blocks, warnings = read(src)
+        assert {r.source_id for r in blocks.collect()} == {"deep", "date", "flow", "key"} and warnings.count() >= 2
+    _, warnings = structured.json_line_blocks(src.where("source_id = 'deep'"))
+    assert warnings.count() == 1
+    table = structured.delimited_blocks(spark.createDataFrame([("w", wide)], "source_id string, raw string")).first()
+    assert "x" * 140_000 in table.content
+
+
+def test_long_runs_of_white_space_take_no_time(spark):
+    import time
+
+    from millrace.functions import text
+
+    row = spark.createDataFrame([("a" + " " * 20_000 + "b \t\n\u3000c\u2009",)], "t string")
+    began = time.time()
+    got = row.select(text.normalize_text(F.col("t")).alias("n"), text.strip(F.col("t")).alias("s"), text.rstrip(F.lit(" \x1fx\x85 ")).alias("r"), text.lstrip(F.lit("\xa0\ufeffy ")).alias("l")).first()
+    assert got.n == "a" + " " * 20_000 + "b\n c" and got.s.endswith("c") and got.r == " \x1fx" and got.l == "\ufeffy "
+    assert time.time() - began < 20
