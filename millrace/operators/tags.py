@@ -1,5 +1,8 @@
 """Tags of chunks under one schema for the corpus."""
 
+import re
+import tempfile
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,17 +62,30 @@ def orphan_tags(tags: DataFrame, chunks: DataFrame) -> DataFrame:
     return tags.join(chunks.select("chunk_id"), "chunk_id", "left_anti")
 
 
+def _cut(df: DataFrame) -> DataFrame:
+    """df written to the folder in spark.checkpoint.dir, without its lineage; a local session may do without the setting."""
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if not context._jsc.sc().getCheckpointDir().isDefined():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not re.match(r"local(\[|$)", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="millrace-"))
+    return df.checkpoint()
+
+
 def prune_descendants(matched: DataFrame, parents: DataFrame) -> DataFrame:
     """matched (item, node) without nodes that have a matched ancestor; parents (node, parent) is the hierarchy, of any depth.
 
     The closure is built by doubling: each step joins the ancestors found so far with themselves, until
     none is new. A hierarchy is small beside the data; its pairs stay on the executors.
     """
-    closure = parents.where("parent IS NOT NULL").select("node", F.col("parent").alias("ancestor")).distinct().persist()
+    closure = parents.where("parent IS NOT NULL").select("node", F.col("parent").alias("ancestor")).distinct()
+    closure = _cut(closure)
     size, before = closure.count(), -1
     while size > before:
         further = closure.join(closure.select(F.col("node").alias("ancestor"), F.col("ancestor").alias("far")), "ancestor").select("node", F.col("far").alias("ancestor"))
-        closure = closure.union(further).distinct().persist()
+        closure = _cut(closure.union(further).distinct())
         before, size = size, closure.count()
     under = matched.join(closure, "node").select("item", "node", "ancestor").join(matched.select("item", F.col("node").alias("ancestor")), ["item", "ancestor"], "left_semi")
     return matched.join(under.select("item", "node").distinct(), ["item", "node"], "left_anti")
