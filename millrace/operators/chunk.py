@@ -1,8 +1,9 @@
 """Chunks: the fine tier of retrieval."""
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.text import sha1_prefix, strip, token_estimate
@@ -63,24 +64,44 @@ def keep_short_whole(sections: DataFrame, policy: Policy = Policy()) -> DataFram
     return chunks(sections.join(short, "source_id", "left_anti")).unionByName(whole)
 
 
+#: Where a sentence that is too long is cut, first choice first; what is left is cut at any character.
+FINER = ("\n", "; ", ",", " ")
+
+
+def _pieces(content: Column, most: int) -> Column:
+    """The sentences of a text, none of more than `most` characters; joined they are the text."""
+
+    def cut(parts: Column, by: Callable[[Column], Column]) -> Column:
+        return F.flatten(F.transform(parts, lambda s: F.when(F.length(s) > most, by(s)).otherwise(F.array(s))))
+
+    out = F.split(content, r"(?<=\n\n)|(?<=[.!?] )")
+    for sep in FINER:
+        out = cut(out, lambda s: F.split(s, f"(?<={sep})"))
+    return cut(out, lambda s: F.regexp_extract_all(s, F.lit(f"(?s).{{1,{most}}}"), F.lit(0)))
+
+
 def packed(sections: DataFrame, policy: Policy = Policy()) -> DataFrame:
-    """Chunks near the target size: sentences are packed until the next would pass it; protected blocks stay whole.
+    """Chunks near the target size: each holds the sentences that end in its stretch of policy.target tokens; protected blocks stay whole.
 
-    A chunk begins again with the last sentences of the one before, as far as they fit into the overlap.
+    A sentence of more than a quarter of the target is cut at the next finer separator, at last at any
+    character, so a chunk has at most 1.25 times the target and the overlap: it begins again with the
+    last sentences of the one before, as far as they fit. nth counts from 0 without gaps (a stretch of
+    white space alone is left out). Blocks are joined by a line end.
     Columns: source_id, part, nth, text, token_count, oversized.
     """
     order = Window.partitionBy("source_id").orderBy("block_id")
     rows = sections.withColumn("part", F.sum(((F.col("type") == "heading") | F.col("type").isin(*policy.protected)).cast("int")).over(order) * 2 + F.col("type").isin(*policy.protected).cast("int") - 1)
     atoms = rows.where(F.col("type").isin(*policy.protected)).select("source_id", F.col("block_id").alias("part"), F.lit(0).alias("nth"), F.col("content").alias("text"), token_estimate(F.col("content")).alias("token_count"))
     prose = rows.where(~F.col("type").isin("heading", *policy.protected))
-    pieces = prose.select("source_id", "block_id", "part", F.posexplode(F.split("content", r"(?<=\n\n)|(?<=[.!?] )")).alias("k", "s")).where("s != ''")
+    pieces = prose.select("source_id", "block_id", "part", F.posexplode(_pieces(F.concat("content", F.lit("\n")), max(4, policy.target))).alias("k", "s")).where("s != ''")
     w = Window.partitionBy("source_id", "part").orderBy("block_id", "k")
     pieces = pieces.withColumn("tokens", token_estimate(F.col("s"))).withColumn("upto", F.sum("tokens").over(w))
     pieces = pieces.withColumn("nth", F.floor((F.col("upto") - 1) / policy.target).cast("int"))
     ahead = Window.partitionBy("source_id", "part", "nth").orderBy(F.desc("block_id"), F.desc("k"))
     tail = F.sum("tokens").over(ahead) <= int(policy.target * policy.overlap)
-    carried = pieces.withColumn("_tail", tail).where("_tail").select("source_id", "part", (F.col("nth") + 1).alias("nth"), "block_id", "k", "s").join(pieces.select("source_id", "part", "nth").distinct(), ["source_id", "part", "nth"], "left_semi")
-    every = pieces.select("source_id", "part", "nth", "block_id", "k", "s").unionByName(carried)
+    last = F.max("nth").over(Window.partitionBy("source_id", "part"))
+    again = F.when(F.col("_tail") & (F.col("nth") < F.col("_last")), F.array("nth", F.col("nth") + 1)).otherwise(F.array("nth"))
+    every = pieces.withColumn("_last", last).withColumn("_tail", tail).select("source_id", "part", F.explode(again).alias("nth"), "block_id", "k", "s")
     text = every.groupBy("source_id", "part", "nth").agg(F.min("block_id").alias("first"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block_id", "k", "s"))), lambda x: x["s"]), "").alias("text"))
     text = text.select("source_id", F.col("first").alias("part"), "nth", strip(F.col("text")).alias("text")).withColumn("token_count", token_estimate(F.col("text"))).where("text != ''")
     return text.unionByName(atoms).withColumn("oversized", F.col("token_count") > policy.most)

@@ -1,6 +1,7 @@
 """Registered queries of the document engine, each with the SQL that yields the same rows."""
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -573,7 +574,24 @@ def duplicate_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ch.duplicate_chunks(doc_chunks(spark, sf_dir))
 
 
-@query()
+def s_split(x: str, after: str, most: int | None = None) -> str:
+    """A list of texts, those over `most` characters split after each match; U+E000 marks the places."""
+    parts = f"string_split(regexp_replace(s, '({after})', '\\1' || chr(57344), 'g'), chr(57344))"
+    return f"flatten(list_transform({x}, lambda s: {parts if most is None else f'CASE WHEN length(s) > {most} THEN {parts} ELSE [s] END'}))"
+
+
+S_PIECES = reduce(lambda x, sep: s_split(x, sep, 512), ch.FINER, s_split("[content || chr(10)]", r"\n\n|[.!?] "))
+
+
+@query(rf"""WITH l AS ({s_numbered_lines()}),
+x AS (SELECT source_id, block_id, list_filter(flatten(list_transform({S_PIECES}, lambda s: CASE WHEN length(s) > 512 THEN regexp_extract_all(s, '(?s).{{1,512}}') ELSE [s] END)), lambda s: s <> '') AS ps FROM l),
+p AS (SELECT source_id, block_id, k, ps[k] AS s, {s_tokens('ps[k]')} AS tokens FROM x, unnest(range(1, len(ps) + 1)) AS u(k)),
+n AS (SELECT *, CAST(floor((sum(tokens) OVER (PARTITION BY source_id ORDER BY block_id, k) - 1) / 512.0) AS INTEGER) AS nth FROM p),
+t AS (SELECT *, sum(tokens) OVER (PARTITION BY source_id, nth ORDER BY block_id DESC, k DESC) AS back, max(nth) OVER (PARTITION BY source_id) AS most FROM n),
+e AS (SELECT source_id, nth, block_id, k, s FROM t UNION ALL SELECT source_id, nth + 1, block_id, k, s FROM t WHERE back <= 76 AND nth < most),
+g AS (SELECT source_id, CAST(min(block_id) AS INTEGER) AS part, nth, string_agg(s, '' ORDER BY block_id, k) AS raw FROM e GROUP BY source_id, nth),
+c AS (SELECT source_id, part, nth, {s_strip('raw')} AS text FROM g)
+SELECT source_id, part, CAST(nth AS INTEGER) AS nth, {s_tokens('text')} AS token_count, {s_tokens('text')} > 1024 AS oversized, md5(text) AS digest FROM c WHERE text <> ''""")
 def packed_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ch.packed(line_blocks(spark, sf_dir)).select("source_id", "part", "nth", "token_count", "oversized", F.md5(F.encode("text", "UTF-8")).alias("digest"))
 

@@ -108,6 +108,21 @@ def test_packed_chunks_keep_everything(spark):
     assert not any(r.oversized for r in prose)
 
 
+def test_packed_chunks_cut_long_sentences(spark):
+    texts = {"cjk": "\u6587" * 9000, "words": "word " * 3000, "clauses": "some clause, " * 900, "signs": "\U0001f600" * 3000, "blank": " ", "none": ""}
+    s = sections(spark, [(d, 0, "paragraph", [], x) for d, x in texts.items()] + [("two", 0, "paragraph", [], "One"), ("two", 1, "paragraph", [], "two")])
+    got = {}
+    for r in chunk.packed(s, chunk.Policy(target=100, most=150, overlap=0.0)).orderBy("source_id", "nth").collect():
+        got.setdefault(r.source_id, []).append(r)
+    assert set(got) == {"cjk", "words", "clauses", "signs", "two"}  # a text of white space has no chunk
+    for d, rows in got.items():
+        assert [r.nth for r in rows] == list(range(len(rows))) and not any(r.oversized for r in rows)
+        if d != "two":
+            assert "".join("".join(r.text for r in rows).split()) == "".join(texts[d].split())
+    assert [r.text for r in got["two"]] == ["One\ntwo"]
+    assert all(r.text.startswith("some clause") for r in got["clauses"]) and all(r.text.endswith("word") for r in got["words"])  # cut at separators only
+
+
 def test_summary(spark):
     s = sections(spark, [("d", 0, "heading", [], "Title"), ("d", 1, "paragraph", [], "Some words, more words. Some"), ("d", 2, "code_block", [], "skip"), ("e", 0, "table", [], "| a |")])
     got = {r.source_id: r for r in summarize.summaries(s).collect()}
