@@ -1,4 +1,6 @@
 import json
+import os
+import time
 
 from millrace import cli, sinks
 from millrace.operators import retrieve
@@ -49,6 +51,19 @@ def test_stream_of_files(spark, tmp_path):
     put(src, b_txt="second text")
     ingest.ingest(spark, str(src), out, str(tmp_path / "cp")).awaitTermination(900)
     assert ingest.current(spark, out, "catalog").count() == 2
+    assert not ingest.refresh(spark, str(src), out)
+
+    put(src, a_txt="changed text", b_txt=" ", c_txt="not taken yet", d_xyz="?")
+    for n in ("a.txt", "b.txt"):
+        os.utime(src / n, (time.time() + 60,) * 2)
+    assert ingest.refresh(spark, str(src), out) and not ingest.refresh(spark, str(src), out)
+    assert [r.raw_text for r in ingest.current(spark, out, "chunks").collect()] == ["changed text"]  # b has become empty
+    assert ingest.current(spark, out, "catalog").count() == 1
+    assert [r.reason for r in ingest.current(spark, out, "review_queue").collect()] == ["unusable"]
+
+    ingest.ingest(spark, str(src), out, str(tmp_path / "cp")).awaitTermination(900)
+    assert {r.raw_text for r in ingest.current(spark, out, "chunks").collect()} == {"changed text", "not taken yet"}
+    assert sorted(r.reason for r in ingest.current(spark, out, "review_queue").collect()) == ["failed", "unusable"]
 
 
 def test_command_line(spark, tmp_path, capsys):
