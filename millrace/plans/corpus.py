@@ -16,7 +16,10 @@ from millrace.sources import blocks, formats, office, structured, web
 
 @dataclass
 class Parsed:
-    """Sections, one row per parsed document, warnings and failures."""
+    """Sections, one row per parsed document, warnings and failures.
+
+    A document's char_count is that of its decoded text (text formats only), properties what an Office file says of itself.
+    """
 
     sections: DataFrame
     documents: DataFrame
@@ -24,6 +27,8 @@ class Parsed:
     warnings: DataFrame
 
 
+PROPERTIES = "source_id string, properties struct<author string, created string, modified string, subject string, paragraph_count int, table_count int, sheet_count int, sheets array<string>, slide_count int>"
+
 #: Engines by family, added with register(): files -> raw elements of sources/office.py's schema. The last one wins.
 ENGINES: dict[str, Callable[[DataFrame], DataFrame]] = {}
 
@@ -49,7 +54,7 @@ def parse(files: DataFrame, ocr: str | None = None) -> Parsed:
     text = of("plain", "markdown", "delimited", "json", "yaml", "code").withColumn("raw", structured.decode(F.col("content")))
     raw = lambda *exts: text.where(F.col("format_type").isin(*exts))
     sections, warnings = [spark.createDataFrame([], SECTION)], [spark.createDataFrame([], "source_id string, warning string")]
-    failures = [formats.unsupported(known)]
+    failures, properties = [formats.unsupported(known)], []
     for family, read in (("plain", blocks.plain_blocks), ("markdown", blocks.markdown_blocks), ("code", blocks.code_blocks)):
         if has(*formats.FAMILIES[family]):
             sections.append(read(raw(*formats.FAMILIES[family])))
@@ -69,6 +74,7 @@ def parse(files: DataFrame, ocr: str | None = None) -> Parsed:
             elements = office.read_elements(of(family), family)
             sections.append(office.office_blocks(elements))
             warnings.append(office.office_warnings(elements))
+            properties.append(office.office_properties(elements))
             failures.append(by_path(office.office_failures(elements)))
     for family, package in (("pdf", "pdfplumber"), ("image", "paddleocr")):
         if not has(*formats.FAMILIES[family]):
@@ -76,6 +82,7 @@ def parse(files: DataFrame, ocr: str | None = None) -> Parsed:
         if family in ENGINES:
             elements = ENGINES[family](of(family))
             sections.append(office.office_blocks(elements))
+            properties.append(office.office_properties(elements))
             failures.append(by_path(office.office_failures(elements)))
         else:
             said = F.concat(F.lit("Format '"), "format_type", F.lit(f"' requires the '{package}' package, which is not installed. Install it with: pip install {package}"))
@@ -88,6 +95,12 @@ def parse(files: DataFrame, ocr: str | None = None) -> Parsed:
     good = known.where("family IS NOT NULL").join(failed.select("source"), "source", "left_anti").select("source_id", F.col("source").alias("source_path"), "format_type", "filename")
     docs = good.join(stats, "source_id", "left").join(notes, "source_id", "left")
     docs = docs.join(titles, "source_id", "left") if has(*formats.FAMILIES["web"]) else docs.withColumn("web_title", F.lit(None).cast("string"))
+    counted = [f for n in ("plain", "markdown", "delimited", "json", "yaml", "code") for f in formats.FAMILIES[n]]
+    if has(*counted):
+        docs = docs.join(text.groupBy("source_id").agg(F.max(F.length("raw")).alias("char_count")), "source_id", "left")
+    else:
+        docs = docs.withColumn("char_count", F.lit(None).cast("int"))
+    docs = docs.join(union(properties) if properties else spark.createDataFrame([], PROPERTIES), "source_id", "left")
     docs = docs.withColumn("title", F.coalesce("web_title", F.regexp_replace("filename", r"(?<=.)\.[^.]+\z", ""))).drop("web_title")
     docs = docs.withColumns({"word_count": F.coalesce("word_count", F.lit(0)), "has_headings": F.coalesce("has_headings", F.lit(False)), "warnings": F.coalesce("warnings", F.array().cast("array<string>"))})
     return Parsed(every, docs, failed, warned)

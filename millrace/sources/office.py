@@ -4,10 +4,12 @@ The reader functions yield raw elements in document order; numbering, breadcrumb
 are DataFrame operations shared with the other formats. A broken file gives a failure row.
 """
 
+import json
 import posixpath
 import re
 import zipfile
 from collections.abc import Callable, Iterator
+from datetime import datetime
 from io import BytesIO
 from typing import Any
 from xml.etree import ElementTree as ET
@@ -26,9 +28,14 @@ S = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 A = "{http://schemas.openxmlformats.org/drawingml/2006/main}"
 P = "{http://schemas.openxmlformats.org/presentationml/2006/main}"
 R = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
+DC, TERMS = "{http://purl.org/dc/elements/1.1/}", "{http://purl.org/dc/terms/}"
+CORE = {"author": DC + "creator", "created": TERMS + "created", "modified": TERMS + "modified", "subject": DC + "subject"}
 #: Fixed value: rows of a sheet that are read.
 SHEET_ROWS = 5000
 
+#: Names of what office_properties() gives.
+PROPERTIES = ("author", "created", "modified", "subject", "paragraph_count", "table_count", "sheet_count", "sheets", "slide_count")
+
 ELEMENT = "source_id string, pos int, type string, level int, text string, rows array<array<string>>, sheet string, slide int, meta map<string,string>, error string"
 _ARROW = pa.schema(
     [("source_id", pa.string()), ("pos", pa.int32()), ("type", pa.string()), ("level", pa.int32()), ("text", pa.string()), ("rows", pa.list_(pa.list_(pa.string()))), ("sheet", pa.string()), ("slide", pa.int32()), ("meta", pa.map_(pa.string(), pa.string())), ("error", pa.string())]
@@ -52,8 +59,23 @@ def _word_text(p: ET.Element) -> str:
     return "".join(parts[e.tag](e) for e in p.iter() if e.tag in parts)
 
 
+def _core(z: zipfile.ZipFile) -> dict[str, str]:
+    """Author, subject and times of a package; times as ISO 8601 if they can be read, else as they stand."""
+    try:
+        root = ET.fromstring(z.read("docProps/core.xml"))
+    except (KeyError, ET.ParseError):
+        return {}
+    held = {name: e.text for name, tag in CORE.items() if (e := root.find(tag)) is not None and e.text}
+    for name in ("created", "modified"):
+        try:
+            held[name] = datetime.fromisoformat(held[name].strip()).isoformat()
+        except (KeyError, ValueError):
+            pass
+    return held
+
+
 def read_word(data: bytes) -> Iterator[dict[str, Any]]:
-    """Paragraphs by style (headings, list items) and tables, in body order."""
+    """Paragraphs by style (headings, list items) and tables, in body order; then the file's properties."""
     with zipfile.ZipFile(BytesIO(data)) as z:
         styles = {}
         if "word/styles.xml" in z.namelist():
@@ -75,6 +97,8 @@ def read_word(data: bytes) -> Iterator[dict[str, Any]]:
             elif child.tag == W + "tbl":
                 rows = [["\n".join(map(_word_text, c.iter(W + "p"))).replace("\n", " ").strip() for c in r.findall(W + "tc")] for r in child.findall(W + "tr")]
                 yield {"type": "table", "rows": rows, "meta": {"rows": str(len(rows)), "columns": str(max(map(len, rows), default=0))}}
+        count = {n: str(len(body.findall(W + tag)) if body is not None else 0) for n, tag in (("paragraph_count", "p"), ("table_count", "tbl"))}
+        yield {"type": "properties", "meta": {**_core(z), **count}}
 
 
 def _cell(ref: str) -> tuple[int, int]:
@@ -100,8 +124,10 @@ def read_sheets(data: bytes, max_rows: int = SHEET_ROWS, formulas: bool = False)
         if "xl/sharedStrings.xml" in z.namelist():
             shared = ["".join(t.text or "" for t in si.iter(S + "t")) for si in ET.fromstring(z.read("xl/sharedStrings.xml")).findall(S + "si")]
         rel = _relations(z, "xl/workbook.xml")
-        for sheet in ET.fromstring(z.read("xl/workbook.xml")).iter(S + "sheet"):
-            name = sheet.get("name") or ""
+        sheets = list(ET.fromstring(z.read("xl/workbook.xml")).iter(S + "sheet"))
+        names = [sheet.get("name") or "" for sheet in sheets]
+        yield {"type": "properties", "meta": {"sheet_count": str(len(names)), "sheets": json.dumps(names)}}
+        for sheet, name in zip(sheets, names):
             yield {"type": "heading", "level": 1, "text": f"Sheet: {name}", "sheet": name}
             root = ET.fromstring(z.read(rel[sheet.get(R + "id")][0]))
             grid: dict[tuple[int, int], str] = {}
@@ -149,6 +175,7 @@ def read_slides(data: bytes) -> Iterator[dict[str, Any]]:
     with zipfile.ZipFile(BytesIO(data)) as z:
         rel = _relations(z, "ppt/presentation.xml")
         slides = [rel[s.get(R + "id")][0] for s in ET.fromstring(z.read("ppt/presentation.xml")).iter(P + "sldId")]
+        yield {"type": "properties", "meta": {"slide_count": str(len(slides))}}
         for n, part in enumerate(slides, 1):
             root = ET.fromstring(z.read(part))
             tree = root.find(f"{P}cSld/{P}spTree")
@@ -203,7 +230,7 @@ def read_elements(files: DataFrame, family: str, **options: Any) -> DataFrame:
 
 def office_blocks(elements: DataFrame, unicode: bool = True) -> DataFrame:
     """Sections of raw elements: headings above each block, tables as Markdown."""
-    rows = elements.where(~F.col("type").isin("error", "warning"))
+    rows = elements.where(~F.col("type").isin("error", "warning", "properties"))
     grid = F.when(F.size("rows") > 0, markdown_grid(F.col("rows"), one_line=True)).otherwise(F.lit(""))
     rows = rows.withColumn("content", F.when(F.col("type") == "table", grid).otherwise(normalize_text(F.col("text"), unicode)))
     rows = rows.where((F.col("type") == "table") | (F.col("content") != ""))
@@ -217,3 +244,10 @@ def office_failures(elements: DataFrame) -> DataFrame:
 
 def office_warnings(elements: DataFrame) -> DataFrame:
     return elements.where("type = 'warning'").select("source_id", F.col("text").alias("warning"))
+
+
+def office_properties(elements: DataFrame) -> DataFrame:
+    """source_id, properties: what the files say about themselves."""
+    kinds = {"sheets": lambda x: F.from_json(x, "array<string>")} | {n: lambda x: x.try_cast("int") for n in ("paragraph_count", "table_count", "sheet_count", "slide_count")}
+    fields = [kinds.get(n, lambda x: x)(F.try_element_at("meta", F.lit(n))).alias(n) for n in PROPERTIES]
+    return elements.where("type = 'properties'").select("source_id", F.struct(*fields).alias("properties")).groupBy("source_id").agg(F.first("properties").alias("properties"))

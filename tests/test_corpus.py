@@ -37,8 +37,10 @@ def test_both_tiers(spark, tmp_path):
 
 def test_nested_contract(spark, tmp_path):
     parsed = corpus.parse(formats.scan(spark, put(tmp_path, a_txt="one\n\ntwo", b_docx="PK")))
+    assert {r.filename: (r.char_count, r.properties) for r in parsed.documents.collect()} == {"a.txt": (8, None)}
     data = json.loads(sinks.as_json(sinks.nested(parsed.documents, parsed.sections)).first().value)
     assert [(s["block_id"], s["content"]) for s in data["sections"]] == [(0, "one"), (1, "two")]
+    assert '"char_count":8' in sinks.envelope(parsed.documents).first().value
     s = sinks.summary(parsed.documents, parsed.failures).first()
     assert (s.total, s.succeeded, s.failed) == (2, 1, 1) and s.failures[0].source.endswith("b.docx")
 

@@ -175,10 +175,13 @@ def zipped(**parts):
     return out.getvalue()
 
 
-def word(body):
+CORE = '<c:coreProperties xmlns:c="http://schemas.openxmlformats.org/package/2006/metadata/core-properties" xmlns:dc="http://purl.org/dc/elements/1.1/" xmlns:t="http://purl.org/dc/terms/"><dc:creator>Ann</dc:creator><dc:subject/><t:created>2024-01-02T03:04:05Z</t:created><t:modified>some day</t:modified></c:coreProperties>'
+
+
+def word(body, **more):
     w = 'xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main"'
     styles = "".join(f'<w:style w:styleId="{i}"><w:name w:val="{n}"/></w:style>' for i, n in (("H1", "heading 1"), ("H2", "heading 2"), ("H3", "heading 3"), ("LB", "List Bullet")))
-    return zipped(**{"word__document.xml": f"<w:document {w}><w:body>{body}</w:body></w:document>", "word__styles.xml": f"<w:styles {w}>{styles}</w:styles>"})
+    return zipped(**{"word__document.xml": f"<w:document {w}><w:body>{body}</w:body></w:document>", "word__styles.xml": f"<w:styles {w}>{styles}</w:styles>", **more})
 
 
 def par(text, style=""):
@@ -200,6 +203,17 @@ def test_word(spark):
     assert "as a Word document" in office.office_failures(e).first().error
 
 
+def test_properties(spark):
+    body = par("One", "H1") + par("text") + "<w:tbl><w:tr/></w:tbl>"
+    e = office.read_elements(files(spark, word(body, docProps__core_xml=""), word(body, **{"docProps__core.xml": CORE}), word(body, **{"docProps__core.xml": "<broken"}), b"PK"), "word")
+    got = {r.source_id: r.properties for r in office.office_properties(e).collect()}
+    assert set(got) == {"f0", "f1", "f2"} and got["f0"] == got["f2"]
+    p = got["f1"]
+    assert (p.author, p.subject, p.created, p.modified, p.paragraph_count, p.table_count) == ("Ann", None, "2024-01-02T03:04:05+00:00", "some day", 2, 1)
+    assert (got["f0"].author, got["f0"].created, got["f0"].paragraph_count, got["f0"].sheets) == (None, None, 2, None)
+    assert office.office_blocks(e).where("type = 'properties'").count() == 0
+
+
 def test_sheets(spark):
     s, r = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"', 'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
     book = f'<workbook {s} {r}><sheets><sheet name="Main" r:id="r1"/><sheet name="Empty" r:id="r2"/></sheets></workbook>'
@@ -218,6 +232,8 @@ def test_sheets(spark):
     assert [g[1] for g in got if g[0] == "heading"] == ["Sheet: Main", "Sheet: Empty"]
     assert got[1][1].split("\n")[2:] == ["| merged | True |", "| merged |  |", "| merged |  |"] and got[1][3]["merged_ranges_expanded"] == "1"
     assert office.office_warnings(e).first().warning == "Sheet 'Empty' is empty"
+    said = office.office_properties(e).first().properties
+    assert (said.sheet_count, said.sheets) == (2, ["Main", "Empty"])
     f = office.office_blocks(office.read_elements(files(spark, data), "sheet", formulas=True))
     assert f.where("type = 'table'").count() == 1
     cut = office.office_blocks(office.read_elements(files(spark, data), "sheet", max_rows=2)).where("type = 'table'").first()
