@@ -89,11 +89,14 @@ def boilerplate_lines(sections: DataFrame, opts: Options) -> DataFrame:
     The threshold is floor(sections * ratio) in double arithmetic, boilerplate_least at least; sources
     of fewer than three sections have none.
     """
-    sized = sections.withColumn("n", F.count("*").over(Window.partitionBy("source_id"))).where("n >= 3")
-    lines = sized.where(~F.col("type").isin(FIXED)).select("source_id", "n", F.explode(F.array_distinct(F.transform(F.split("content", "\n"), lambda x: strip(x)))).alias("key"))
-    lines = lines.where((F.col("key") != "") & (F.length("key") <= opts.boilerplate_line))
+    keys = F.filter(F.array_distinct(F.transform(F.split("content", "\n"), lambda x: strip(x))), lambda x: (x != "") & (F.length(x) <= opts.boilerplate_line))
+    keys = F.coalesce(F.when(~F.col("type").isin(FIXED), keys), F.array().cast("array<string>"))
+    # a null key for each section counts them in the same pass; only counts are shuffled
+    counts = sections.select("source_id", F.explode(F.concat(F.array(F.lit(None).cast("string")), keys)).alias("key")).groupBy("source_id", "key").agg(F.count("*").alias("c"))
+    often = counts.where(F.col("key").isNull() | (F.col("c") >= opts.boilerplate_least))
+    often = often.withColumn("n", F.max(F.when(F.col("key").isNull(), F.col("c"))).over(Window.partitionBy("source_id")))
     least = F.greatest(F.lit(opts.boilerplate_least).cast("long"), F.floor(F.col("n") * F.lit(float(opts.boilerplate_ratio))))
-    return lines.groupBy("source_id", "n", "key").agg(F.count("*").alias("c")).where(F.col("c") >= least).select("source_id", "key")
+    return often.where(F.col("key").isNotNull() & (F.col("n") >= 3) & (F.col("c") >= least)).select("source_id", "key")
 
 
 def boilerplate(sections: DataFrame, opts: Options) -> DataFrame:
