@@ -1,9 +1,13 @@
 """Page layout: words and boxes with coordinates become lines, columns and paragraphs."""
 
+from collections.abc import Iterator
 from importlib.util import find_spec
+from math import inf, isfinite
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from millrace.functions.text import normalize_text
 from millrace.schema import as_sections
@@ -63,32 +67,60 @@ def looks_scanned(sections: DataFrame, pages: DataFrame, least: int = 25) -> Dat
     return pages.join(chars, "source_id", "left").select("source_id", ((F.col("page_count") == 0) | (F.coalesce("c", F.lit(0)) < least * F.col("page_count"))).alias("scanned"))
 
 
+def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted boxes with `line`. Heads that end above the next box are behind; those kept overlap it, so few are of like height."""
+    source, heads, lines, first = object(), [], 0, True
+    for batch in batches:
+        out = []
+        for sid, slack, top, height in zip(*(batch.column(c).to_pylist() for c in ("source_id", "slack", "top", "height")), strict=True):
+            if sid != source:
+                source, heads, lines, first = sid, [], 0, True
+            n = None
+            if top is not None and height is not None:
+                centre = top + height / 2
+                # NaN compares as in SQL: equal to itself, larger than all else
+                heads = [h for h in heads if not h[2] < top - slack]
+                for c, size, _, line in heads:
+                    reach = (height if height != height or height > size else size) * 0.5
+                    if reach != reach or abs(c - centre) <= reach:
+                        n = line
+                        break
+                else:
+                    # the first head and those without finite places are never behind: a box of endless height meets them
+                    stays = not isfinite(centre) or not isfinite(height) or first
+                    first = first and not isfinite(centre)
+                    heads.append((centre, height, inf if stays else max(top, top + height), lines))
+            if n is None:
+                n, lines = lines, lines + 1
+            out.append(n)
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("source_id", "top", "left", "height", "text")), pa.array(out, pa.int32())], ["source_id", "top", "left", "height", "text", "line"])
+
+
 def box_lines(boxes: DataFrame) -> DataFrame:
     """boxes (source_id, top, left, height, text) with `line`: the first line whose leading box is level with it.
 
-    Greedy, in reading order, over one picture's boxes: what a box joins depends on those before it.
+    Greedy, in reading order, over one picture's boxes: what a box joins depends on those before it. They are read
+    once, sorted, and only the leading boxes that can still be met are held.
     """
-    item = "struct<top:double,left:double,height:double,text:string,line:int>"
-    got = boxes.groupBy("source_id").agg(F.array_sort(F.collect_list(F.struct(*(F.col(c).cast("double").alias(c) for c in ("top", "left", "height")), "text"))).alias("bs"))
-
-    def place(acc, b):
-        centre = lambda x: x["top"] + x["height"] / 2
-        level = F.filter(acc["heads"], lambda h: F.abs(centre(h) - centre(b)) <= F.greatest(h["height"], b["height"]) * 0.5)
-        n = F.when(F.size(level) > 0, F.get(level, F.lit(0))["line"]).otherwise(F.size(acc["heads"]))
-        placed = F.struct(b["top"].alias("top"), b["left"].alias("left"), b["height"].alias("height"), b["text"].alias("text"), n.alias("line"))
-        heads = F.when(F.size(level) > 0, acc["heads"]).otherwise(F.concat(acc["heads"], F.array(placed)))
-        return F.struct(heads.alias("heads"), F.concat(acc["out"], F.array(placed)).alias("out"))
-
-    none = F.array().cast(f"array<{item}>")
-    return got.select("source_id", F.inline(F.aggregate("bs", F.struct(none.alias("heads"), none.alias("out")), place)["out"]))
+    b = boxes.select("source_id", *(F.col(c).cast("double").alias(c) for c in ("top", "left", "height")), "text")
+    # how far above a box's top a leading box can end that is still level with it: by negative heights and by rounding
+    size = [F.max(F.when(F.abs(c) < float("inf"), F.abs(c))) for c in (F.col("top"), F.col("height"))]
+    reach = F.greatest(F.lit(0.0), -F.min(F.when(F.col("height") > float("-inf"), F.col("height"))))
+    slack = b.groupBy("source_id").agg((F.coalesce(reach, F.lit(0.0)) + 1e-14 * (F.coalesce(size[0], F.lit(0.0)) + F.coalesce(size[1], F.lit(0.0)))).alias("slack"))
+    met = b.join(slack.withColumnRenamed("source_id", "_s"), F.col("source_id").eqNullSafe(F.col("_s"))).drop("_s")
+    order = met.repartition("source_id").sortWithinPartitions("source_id", "top", "left", "height", "text")
+    return order.select(*b.columns, "slack").mapInArrow(_sweep, StructType([*b.schema.fields, StructField("line", IntegerType())]))
 
 
 def box_blocks(boxes: DataFrame, engine: str = "ocr", unicode: bool = True) -> DataFrame:
     """Lines from left to right; a gap of more than 1.8 upper-median box heights begins a paragraph."""
     placed = box_lines(boxes)
-    heights = placed.groupBy("source_id").agg(F.array_sort(F.collect_list("height")).alias("hs"))
-    median = heights.select("source_id", F.get("hs", F.floor(F.size("hs") / 2).cast("int")).alias("median"))
-    lines = placed.groupBy("source_id", "line").agg(F.min("top").alias("top"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("left", "top", "text"))), lambda x: x["text"]), " ").alias("text")).join(median, "source_id")
+    counts = boxes.groupBy("source_id", F.col("height").cast("double").alias("height")).count()
+    by = Window.partitionBy("source_id")
+    upto = F.sum("count").over(by.orderBy("height"))
+    known = counts.where("height IS NOT NULL").withColumn("_upto", upto).withColumn("_all", F.sum("count").over(by))
+    median = known.where(F.col("_upto") > F.floor(F.col("_all") / 2)).groupBy("source_id").agg(F.min("height").alias("median"))
+    lines = placed.groupBy("source_id", "line").agg(F.min("top").alias("top"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("left", "top", "text"))), lambda x: x["text"]), " ").alias("text")).join(median, "source_id", "left")
     order = Window.partitionBy("source_id").orderBy("top", "line")
     far = F.coalesce(F.col("top") - F.lag("top").over(order) > F.col("median") * GAP, F.lit(False))
     lines = lines.withColumn("_far", far.cast("int")).withColumn("para", F.sum("_far").over(order)).withColumn("_n", F.row_number().over(order))

@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -163,6 +164,51 @@ def test_boxes_equal_a_greedy_reading(spark):
     assert layout.box_blocks(df).count() >= 12
 
 
+def greedy_lines(boxes):
+    """(text, line) by the plain rule over all leading boxes, with NaN and null as in SQL."""
+    nan = lambda x: x != x
+    key = lambda x: tuple((v is not None, not isinstance(v, str) and v is not None and nan(v), "" if isinstance(v, str) else 0.0 if v is None or nan(v) else v, v if isinstance(v, str) else "") for v in x)
+    heads, out = [], {}
+    for top, left, height, text in sorted(boxes, key=key):
+        line = len(heads)
+        if top is not None and height is not None:
+            for n, h in enumerate(heads):
+                if h is not None:
+                    reach = (float("nan") if nan(h[1]) or nan(height) else max(h[1], height)) * 0.5
+                    if nan(reach) or abs(h[0] - (top + height / 2)) <= reach:
+                        line = n
+                        break
+        if line == len(heads):
+            heads.append(None if top is None or height is None else (top + height / 2, height))
+        out[text] = line
+    return out
+
+
+def test_boxes_of_odd_sizes(spark):
+    r = random.Random(4)
+    odd = [None, float("nan"), float("inf"), float("-inf"), -3.0, -40.0, 0.0, 1e18, 900.0]
+    rows = []
+    for p in range(40):
+        some = odd if p % 2 else [-3.0, -40.0, 0.0, 900.0]
+        for i in range(r.randint(1, 40)):
+            top, height = (r.choice(some) if r.random() < 0.1 else x for x in (float(r.randint(0, 900)), r.choice([8.0, 10.5, 31.0])))
+            rows.append((f"p{p}", top, float(i), height, f"w{i}"))
+    df = spark.createDataFrame(rows, "source_id string, top double, left double, height double, text string")
+    got = {(x.source_id, x.text): x.line for x in layout.box_lines(df).collect()}
+    assert got == {(p, t): n for p in {x[0] for x in rows} for t, n in greedy_lines([x[1:] for x in rows if x[0] == p]).items()}
+
+
+def test_boxes_of_one_large_picture(spark):
+    """Time grows with the boxes, not with their square."""
+    r = random.Random(5)
+    rows = [("p", float(r.randint(0, 3000)), float(i), float(r.choice([8, 10, 14])), f"w{i}") for i in range(40_000)]
+    df = spark.createDataFrame(rows, "source_id string, top double, left double, height double, text string")
+    began = time.time()
+    got = {x.text: x.line for x in layout.box_lines(df).collect()}
+    assert layout.box_blocks(df).count() >= 1 and time.time() - began < 60
+    assert got == greedy_lines([x[1:] for x in rows])
+
+
 def test_columns(spark):
     w = [("d", 1, float(x), float(x + 20), float(t), float(t + 8), 600.0, f"{c}{t}") for t in range(0, 400, 10) for c, x in (("L", 50), ("R", 400))]
     df = spark.createDataFrame(w, "source_id string, page int, x0 double, x1 double, top double, bottom double, width double, text string")
