@@ -740,7 +740,7 @@ def broad_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {S_DOC_CHUNKS}, {S_TERMS}, r AS (SELECT question_id, chunk_id, len(list_filter(terms, lambda w: contains(lower(text), w))) AS score FROM q, c)
 SELECT question_id, chunk_id, CAST(score AS INTEGER) AS score, CAST(row_number() OVER (PARTITION BY question_id ORDER BY score DESC, chunk_id) AS INTEGER) AS rank FROM r WHERE score > 0 QUALIFY rank <= 5""")
 def specific_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rt.ranked(rt.specific(questions(spark, sf_dir), doc_chunks(spark, sf_dir)), "chunk_id", 5)
+    return rt.ranked(rt.specific(questions(spark, sf_dir), doc_chunks(spark, sf_dir), k=5), "chunk_id", 5)
 
 
 @query(f"""WITH {S_SUMMARY}, {S_DOC_CHUNKS}, {S_TERMS}, h AS (SELECT source_id, {S_HAY} AS t FROM su),

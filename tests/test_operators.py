@@ -137,6 +137,28 @@ def test_questions(spark):
     assert q.select(retrieve.terms(F.col("question"))).first()[0] == ["until", "access", "tokens", "expire"]
 
 
+def test_scores_equal_a_plain_search(spark, monkeypatch):
+    r = random.Random(3)
+    syll = ["ab", "c", "dé", "E", "?", ".", "日本", "x-", "\u00a0", "\u2003", "\x1c", " ", " ", "\n", "long", "longer", "İ"]
+    text = lambda n: "".join(r.choice(syll) for _ in range(n))
+    asked = [(i // 2, text(60)) for i in range(24)] + [(None, text(40)), (50, None), (51, ""), (52, "????? a...."), (53, "every longest")]
+    made = [(f"c{i}", text(r.randint(1, 120))) for i in range(300)] + [("none", None), ("empty", ""), ("w", "é" * 3000 + "longer")]
+    q = spark.createDataFrame(asked, "question_id long, question string")
+    c = spark.createDataFrame(made, "chunk_id string, text string").repartition(5)
+    rows = lambda df: sorted(map(tuple, df.collect()), key=str)
+    plain = q.select("question_id", F.explode(retrieve.terms(F.col("question"))).alias("t")).crossJoin(c).where(F.contains(F.lower("text"), F.col("t"))).groupBy("question_id", "chunk_id").agg(F.count("*").cast("int").alias("score"))
+    want, best = rows(plain), rows(retrieve.ranked(plain, "chunk_id", 5))
+    for places in (1 << 20, 7):
+        monkeypatch.setattr(retrieve, "PLACES", places)
+        assert rows(retrieve.specific(q, c)) == want
+        assert rows(retrieve.ranked(retrieve.specific(q, c, k=5), "chunk_id", 5)) == best
+    # what goes to the ranking is bounded by questions and tasks, not by entries
+    assert retrieve.specific(q, c, k=2).count() <= 2 * 5 * 16 < len(want)
+    monkeypatch.setattr(retrieve, "MAX_BROADCAST", 0)
+    assert rows(retrieve.specific(q, c)) == want
+    assert retrieve.specific(q.limit(0), c, k=5).count() == 0
+
+
 def test_tag_hierarchy(spark):
     tree = spark.createDataFrame([(f"n{i}", f"n{i + 1}") for i in range(12)], "node string, parent string")
     m = spark.createDataFrame([(1, "n0"), (1, "n12"), (2, "n0"), (2, "m")], "item int, node string")
