@@ -98,8 +98,10 @@ def words(text: Column) -> Column:
     return F.filter(F.split(ascii_lower(F.coalesce(text, F.lit(""))), NOT_WORD), lambda w: w != "")
 
 
-def texts(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
-    """Columns of each Arrow batch as Python lists, 512 rows at a time."""
+def texts(batches: Iterator[pa.RecordBatch], *names: str, keep: bool = False) -> Iterator[tuple]:
+    """Columns of each Arrow batch as Python lists, 512 rows at a time. What per_process() holds goes first, unless the task keeps it."""
+    if not keep:
+        let_go()
     give_back()
     for batch in batches:
         for start in range(0, batch.num_rows, 512):
@@ -164,7 +166,8 @@ class Bloom:
 def per_process(key: str, make: Callable[[], Any]) -> Any:
     """What make() returned when a Python worker first asked for this key; later tasks of the worker get the same.
 
-    A worker holds one such value: the next key takes its place, so no operator's state outlives the next one's start.
+    A worker holds one such value: the next key takes its place, and tasks that use none call let_go(), so no
+    operator's state outlives the next one's start.
     """
     held = sys.modules.setdefault("millrace_worker_state", types.ModuleType("millrace_worker_state")).__dict__
     if held.get("key") != key:
@@ -174,6 +177,13 @@ def per_process(key: str, make: Callable[[], Any]) -> Any:
     return held["value"]
 
 
+def let_go() -> None:
+    """Drop what per_process() holds in this worker."""
+    if held := sys.modules.get("millrace_worker_state"):
+        held.__dict__.pop("key", None)
+        held.__dict__.pop("value", None)
+
+
 def sent(spark: SparkSession, value: Any) -> Callable[[], Any]:
     """Broadcast a value of bounded size; tasks call the result to get it.
 

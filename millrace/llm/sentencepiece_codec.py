@@ -352,7 +352,7 @@ def parity(docs: DataFrame, model: bytes | None = None, text_col: str = "text")
         import sentencepiece
 
         own, other = Codec.shared(sent.value), sentencepiece.SentencePieceProcessor(model_proto=sent.value)
-        for (rows,) in texts(batches, "text"):
+        for (rows,) in texts(batches, "text", keep=True):
             mine, theirs = own.encode([t or "" for t in rows]), other.encode([t or "" for t in rows])
             back = [(own.decode(a), other.decode(a)) for a in mine]
             yield pa.record_batch({"n": [len(rows)], "ids": [sum(a != b for a, b in zip(mine, theirs))], "dec": [sum(a != b for a, b in back)]})
@@ -369,7 +369,7 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec.shared(sent.value)
-        for docs, found in texts(batches, "doc_id", "text"):
+        for docs, found in texts(batches, "doc_id", "text", keep=True):
             whole = [t or "" for t in found]
             ids, sizes = flat(codec.encode(whole))
             decoded, at = codec.decode_batch(ids, sizes), sizes.to_numpy()

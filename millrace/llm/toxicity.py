@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import WORD_BYTES, Steps, free_name, give_back, pieces, sent, small_batches, table, texts
+from millrace.llm.common import WORD_BYTES, Steps, free_name, give_back, let_go, pieces, sent, small_batches, table, texts
 
 #: Bound of what is fitted: labelled documents of either class. Their terms are the vocabulary.
 PER_CLASS = 3000
@@ -308,6 +308,7 @@ def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text") -> Dat
     get = sent(docs.sparkSession, model)  # its size is bounded by per_class examples and their terms
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        let_go()
         give_back()
         model = get()
         for part in batches:

@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 import sentencepiece
 
 import corpus_pipeline as cp
@@ -52,5 +53,16 @@ def test_each_decision_takes_effect(spark, write):
     assert {r.doc_id for r in cp.run(spark, sf).collect()} == ids[4]
 
 
+def test_workers_drop_what_the_last_operator_held():
+    """A codec that stayed in the workers took the memory that the next run's toxicity stage needs."""
+    batch = pa.record_batch({"text": ["a", "b"]})
+    made = [common.per_process("codec", lambda: object()) for _ in range(2)]
+    assert made[0] is made[1] and list(common.texts(iter([batch]), "text", keep=True)) == [(["a", "b"],)]
+    assert common.per_process("codec", lambda: object()) is made[0]
+    assert list(common.texts(iter([batch]), "text")) == [(["a", "b"],)]
+    assert common.per_process("codec", lambda: object()) is not made[0]
+    common.let_go()
+
+
 def test_empty_corpus(spark, write):
     assert cp.run(spark, write(documents=[], labels=[], benchmark=[])).count() == 0
