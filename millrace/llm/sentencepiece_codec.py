@@ -35,6 +35,8 @@ UNIGRAM, BPE = 1, 2
 REMEMBERED, LONGEST = 60_000, 32
 #: Characters that the library gets at once; a longer word comes alone.
 AT_ONCE = 1 << 18
+#: Words that the library gets as one text.
+JOINED = 64
 
 
 def fields(data: bytes) -> Iterator[tuple[int, Any]]:
@@ -135,8 +137,7 @@ class Codec:
         self.model = m = Model(data)
         self.tokenizer = m.tokenizer()
         self.normal = m.normalizer()
-        self.seen: dict[str, tuple[int, ...]] = {}
-        self.numbers = list(range(len(m.pieces)))  # one object for each id, however many words hold it
+        self.seen: dict[str, bytes] = {}  # ids of four bytes, as packed() joins them
         byte = {i: int(p[3:5], 16) for i, (p, k) in enumerate(zip(m.pieces, m.kinds)) if k == BYTE}
         surface = []
         for i, (p, k) in enumerate(zip(m.pieces, m.kinds)):
@@ -153,6 +154,8 @@ class Codec:
                 same.setdefault(m.scores[i], []).append(p)
         tied = [p for ps in same.values() if len(ps) > 1 for p in ps] if m.type == BPE else []
         self.ties_everywhere = any(p.strip(MARK) for p in tied)
+        #: Whether words can go to the library end to end: each begins with the marker, no piece crosses it, no id spans two.
+        self.joins = m.type == BPE and m.apart and m.byte_fallback and MARK in self.normal_ids and not self.ties_everywhere
 
     @classmethod
     def shared(cls, data: bytes) -> "Codec":
@@ -213,32 +216,49 @@ class Codec:
                 out.append(self.model.unk)
         return tuple(out)
 
-    def _learn(self, keys: list[str], into: dict[str, tuple[int, ...]]) -> None:
+    def _learn(self, keys: list[str], into: dict[str, bytes]) -> None:
+        if self.joins:
+            self._learn_joined([k for k in keys if k[0] != " "], into)
+            keys = [k for k in keys if k[0] == " "]
         for some in pieces(keys, AT_ONCE, 1 << 14):
             marked = [k[1:] if k[0] == " " else MARK + k for k in some]
             tied = [self.model.type == BPE and (self.ties_everywhere or MARK * 2 in w) for w in marked]
             easy = [w for w, t in zip(marked, tied, strict=True) if not t]
             got = iter(self.tokenizer.encode_batch_fast(easy, add_special_tokens=False))
             for key, w, t in zip(some, marked, tied, strict=True):
-                into[key] = tuple(map(self.numbers.__getitem__, self._merge(w) if t else next(got).ids))
+                into[key] = np.array(self._merge(w) if t else next(got).ids, np.int32).tobytes()
+
+    def _learn_joined(self, keys: list[str], into: dict[str, bytes]) -> None:
+        """Words without markers: what the library costs for each text is shared by many of them."""
+        for some in pieces(keys, AT_ONCE, 1 << 14):
+            rows = [MARK + MARK.join(some[at : at + JOINED]) for at in range(0, len(some), JOINED)]
+            got = np.fromiter(chain.from_iterable(x.ids for x in self.tokenizer.encode_batch_fast(rows, add_special_tokens=False)), np.int32)
+            cuts, data = [*(4 * np.flatnonzero(self.starts[got])).tolist(), 4 * len(got)], got.tobytes()
+            into.update(zip(some, (data[a:b] for a, b in zip(cuts[:-1], cuts[1:])), strict=True))
 
     def forget(self) -> None:
         self.seen = {}
 
     def encode(self, rows: list[str]) -> list[list[int]]:
         """Ids of each text, whole; texts may be empty."""
+        return [np.frombuffer(x, np.int32).tolist() for x in self.packed(rows)]
+
+    def packed(self, rows: list[str]) -> list[bytes]:
+        """Ids of each text, whole, in four bytes each."""
         return list(chain.from_iterable(map(self._encode, pieces(rows))))
 
-    def _encode(self, rows: list[str]) -> list[list[int]]:
+    def _encode(self, rows: list[str]) -> list[bytes]:
         split = [self._words(self.normalize(t)) for t in rows]
         words = set().union(*split)
         here = {w: self.seen[w] for w in words & self.seen.keys()}
         self._learn([w for w in words if w not in here], here)
-        out = [list(chain.from_iterable(map(here.__getitem__, ws))) for ws in split]
+        out = [b"".join(map(here.__getitem__, ws)) for ws in split]
         self.seen = dict(islice(((w, ids) for w, ids in here.items() if len(w) <= LONGEST), REMEMBERED))
         unk = self.model.unk
         if not self.model.byte_fallback:  # a run of unknown characters is one piece, across words too
-            out = [[i for k, i in enumerate(ids) if i != unk or not k or ids[k - 1] != unk] if unk in ids else ids for ids in out]
+            for k, ids in enumerate(np.frombuffer(x, np.int32) for x in out):
+                if unk in ids:
+                    out[k] = ids[(ids != unk) | (np.append(-1, ids[:-1]) != unk)].astype(np.int32).tobytes()
         return out
 
     def decode_batch(self, ids: pa.Array, sizes: pa.Array) -> list[str]:
@@ -280,6 +300,13 @@ def flat(encoded: list[list[int]]) -> tuple[pa.Array, pa.Array]:
     return pa.array(np.fromiter(chain.from_iterable(encoded), np.int32, int(sizes[-1]))), pa.array(sizes)
 
 
+def unpacked(encoded: list[bytes]) -> tuple[pa.Array, pa.Array]:
+    """Packed ids end to end, and where each text's begin."""
+    sizes = np.zeros(len(encoded) + 1, np.int32)
+    np.cumsum([len(x) // 4 for x in encoded], out=sizes[1:])
+    return pa.array(np.frombuffer(b"".join(encoded), np.int32)), pa.array(sizes)
+
+
 def _bytes(run: bytes) -> str:
     try:
         return run.decode()
@@ -321,8 +348,7 @@ def encode_texts(docs: DataFrame, model: bytes | None = None, text_col: str = "t
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = Codec.shared(sent.value)
         for part in batches:
-            got = [ids for at in range(0, len(part), 512) for ids in codec.encode([t or "" for t in part.slice(at, 512).to_pylist()])]
-            ids, sizes = flat(got)
+            ids, sizes = unpacked([x for at in range(0, len(part), 512) for x in codec.packed([t or "" for t in part.slice(at, 512).to_pylist()])])
             yield pa.ListArray.from_arrays(sizes, ids)
         codec.forget()
         give_back()
@@ -371,7 +397,7 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         codec = Codec.shared(sent.value)
         for docs, found in texts(batches, "doc_id", "text", keep=True):
             whole = [t or "" for t in found]
-            ids, sizes = flat(codec.encode(whole))
+            ids, sizes = unpacked(codec.packed(whole))
             decoded, at = codec.decode_batch(ids, sizes), sizes.to_numpy()
             own = ids.to_numpy().astype("<u4")
             fallback = np.concatenate([[0], np.cumsum(codec.byte_of[own])])

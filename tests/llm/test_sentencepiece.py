@@ -63,6 +63,24 @@ def unigram_model():
     return b"".join(pieces) + field(2, field(3, b"\x01", 0)) + field(3, field(3, b"\x01", 0) + field(4, b"\x01", 0) + field(5, b"\x01", 0))
 
 
+def test_new_words_go_to_the_library_together(monkeypatch):
+    """Each text costs the library far more than a word does; ids are those of words encoded apart."""
+
+    class Counting:
+        texts = 0
+
+        def encode_batch_fast(self, rows, **more):
+            self.texts += len(rows)
+            return CODEC.tokenizer.encode_batch_fast(rows, **more)
+
+    own, counting = sp.Codec(sp.default_model()), Counting()
+    monkeypatch.setattr(own, "tokenizer", counting)
+    words = [f"{a}{i}{b}" for i in range(700) for a, b in (("x", ""), ("日", "本😀"), ("ß", "ing"), ("", "\x00"), ("\n", "\t"))]
+    text = " ".join(words) + "  ▁two " + " ".join(words)
+    assert own.encode([text, " ".join(words[:50])]) == [LIBRARY.encode(text), LIBRARY.encode(" ".join(words[:50]))]
+    assert counting.texts < len(words) / 10
+
+
 def test_unigram_model():
     data = unigram_model()
     own, other = sp.Codec(data), sentencepiece.SentencePieceProcessor(model_proto=data)
