@@ -17,6 +17,9 @@ SHARDS = 40
 ROUNDS = 3
 #: Buckets by which moves into a shard are admitted.
 BUCKETS = 256
+#: What a stored file holds at least, as far as two for each core allow: every file of a local folder costs its
+#: writer two processes (chmod), and a process that is just starting counts with all memory of the one that starts it.
+FILE_BYTES, FILE_ROWS = 16_000_000, 50_000
 
 
 def _pick(values: list[int], index: Column) -> Column:
@@ -32,6 +35,11 @@ def quotas(n: int, shards: int) -> list[int]:
     return [n // shards + (s < n % shards) for s in range(shards)]
 
 
+def files(spark: SparkSession, least: int) -> int:
+    """In how many files a table is stored that fills `least` of them."""
+    return max(2 * spark.sparkContext.defaultParallelism, least)
+
+
 def room_left(linked: DataFrame, quota: list[int]) -> list[int]:
     have = dict(linked.groupBy("shard").count().collect())
     return [max(0, q - have.get(s, 0)) for s, q in enumerate(quota)]
@@ -117,26 +125,29 @@ def balanced_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     share a shard as far as the quotas let them.
     """
     text = F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8")
+    spark = docs.sparkSession
+    read = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    docs = docs.coalesce(files(spark, min(-(-read // FILE_BYTES), 1 << 30)))
     rows = stored(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.unhex(F.sha2(text, 256)).alias("grp")), "shard-rows")
     total = rows.count()
-    quota = quotas(total, shards)
+    quota, parts = quotas(total, shards), files(spark, -(-total // FILE_ROWS))
     sizes = rows.groupBy("grp").agg(F.count("*").alias("members")).where("members > 1")
     start = F.pmod(_mix(0, "row"), F.lit(shards)).cast("int").alias("shard")
-    linked = stored(rows.select("row", "grp").join(sizes, "grp").select("row", "grp", "members", start), "shard-links")
+    linked = stored(rows.select("row", "grp").join(sizes, "grp").select("row", "grp", "members", start).coalesce(parts), "shard-links")
     turn, before = 0, total
     while True:
         old = WRITTEN[-1]
         wanted = propose(linked.select("row", "grp", "members", "shard"), room_left(linked, quota), turn)
         placed, moves = admit(wanted, quota, turn)
-        linked = stored(placed, f"shard-round{turn}")
-        remove(docs.sparkSession, [old])
+        linked = stored(placed.coalesce(parts), f"shard-round{turn}")
+        remove(spark, [old])
         turn += 1
         if not moves or (turn > rounds and moves >= before):
             break
         before = moves
     placed = rows.join(linked.select("row", F.col("shard").alias("moved"), "settled"), "row", "left")
     placed = placed.select("row", "id", "size", "text_crc32", "grp", F.coalesce("moved", start).alias("shard"), F.coalesce("settled", F.lit(False)).alias("settled"))
-    return level(stored(placed, "shard-placed"), quota).select("id", "size", "text_crc32", "grp", "shard", "slot")
+    return level(stored(placed.coalesce(parts), "shard-placed"), quota).select("id", "size", "text_crc32", "grp", "shard", "slot").coalesce(parts)
 
 
 def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

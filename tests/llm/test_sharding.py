@@ -46,3 +46,27 @@ def test_pairs_beside_a_hot_group_stay_whole(spark, write):
     at = {r.doc_id: r.shard for r in got}
     cut = sum(at[i] != at[i + 1] for i in range(2000, 3800, 2))
     assert cut <= 18  # 2% of the pairs, though a third of the shards are full
+
+
+def test_small_tables_are_stored_in_few_files(spark, write, monkeypatch):
+    docs = [(i, f"copy {i % 60}") for i in range(600)] + [(1000 + i, f"t{i}") for i in range(600)]
+    few, made, keep = 2 * spark.sparkContext.defaultParallelism, {}, sh.stored
+    conf = {"spark.sql.shuffle.partitions": "24", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in conf}
+
+    def counted(df, name):
+        out = keep(df, name)
+        made[name] = len(out.inputFiles())
+        return out
+
+    monkeypatch.setattr(sh, "stored", counted)
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = sh.op6_shards(spark, write(documents=docs))
+        assert got.rdd.getNumPartitions() <= few
+        check(docs, got.collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(made) > 3 and max(made.values()) <= few
