@@ -25,6 +25,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def small_table(spark: SparkSession, columns: list[pa.Array], names: list[str]) -> DataFrame:
+    """A table of rows that the driver holds. From Arrow it is part of the plan; from a list executors would start
+    Python workers of another kind to convert it, whose daemon then stays beside the one that all operators use."""
+    return spark.createDataFrame(pa.table(columns, names))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all machines share: spark.checkpoint.dir, or what setCheckpointDir() was given.
 

@@ -230,7 +230,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     i = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST))
     joined = docs.select(F.struct(*docs.columns).alias("_doc"), F.col(text_col).alias("_text"), i.alias("_i"), F.xxhash64(text_col).alias("_tk")).join(gone, ["_i", "_tk"], "left")
-    lines = F.arrow_udf(rebuild, "kept string, n_lines long, n_exact long, n_near long")("_text", "exact", "near")
+    # not called deterministic, else a filter on its result is pushed below it and it runs twice, in workers of its own
+    lines = F.arrow_udf(rebuild, "kept string, n_lines long, n_exact long, n_near long").asNondeterministic()("_text", "exact", "near")
     return joined.select("_doc.*", lines.alias(free_name(docs, "lines")))
 
 

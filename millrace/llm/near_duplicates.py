@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import Bloom, Steps, sent, small_batches, table, texts
+from millrace.llm.common import Bloom, Steps, give_back, let_go, sent, small_batches, table, texts
 from millrace.llm.components import components
 
 SHINGLE = 5
@@ -98,6 +98,7 @@ def sketch_keys(classes: DataFrame, steps: Steps) -> DataFrame:
     often = sent(classes.sparkSession, Bloom.of(counts, "v"))
 
     def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         known = often()
         for batch in batches:
             sketch = batch.column("sketch")
@@ -109,6 +110,7 @@ def sketch_keys(classes: DataFrame, steps: Steps) -> DataFrame:
             may = np.bincount(owner, minlength=batch.num_rows) >= np.where(n * DEN <= K * NUM, -(-n * NUM // DEN), SHARED)
             own = pa.array(owner[may[owner]])
             yield pa.record_batch({"sid": batch.column("sid").take(own), "n": batch.column("n").take(own), "v": flat.filter(pa.array(ok)).filter(pa.array(may[owner]))})
+        give_back()
 
     shared = classes.select("sid", "n", "sketch").mapInArrow(passing, "sid binary, n long, v long").join(counts, "v")
     # of n values (K at most), a linked pair shares `need`; single values come first in the order and use up places
@@ -138,6 +140,7 @@ def full_keys(sets: DataFrame, steps: Steps) -> DataFrame:
     steps.drop(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         filters = get()
         for batch in batches:
             lists = batch.column("set")
@@ -159,6 +162,7 @@ def full_keys(sets: DataFrame, steps: Steps) -> DataFrame:
                     left.append(len(often) - np.arange(take))
             own = np.concatenate(owner)
             yield pa.record_batch({"v": pa.array(np.concatenate(keys)), "sid": batch.column("sid").take(pa.array(own)), "n": batch.column("n").take(pa.array(own)), "left": pa.array(np.concatenate(left)), "centre": pa.array(np.array(centre, float)[own])})
+        give_back()
 
     return sets.select("sid", "n", "set").mapInArrow(run, KEY)
 

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import WORD_BYTES, Steps, free_name, give_back, let_go, pieces, sent, small_batches, table, texts
+from millrace.llm.common import WORD_BYTES, Steps, free_name, give_back, let_go, pieces, sent, small_batches, small_table, table, texts
 
 #: Bound of what is fitted: labelled documents of either class. Their terms are the vocabulary.
 PER_CLASS = 3000
@@ -238,7 +238,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
     known = labels.where(~held_out() & F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max(F.when(F.col("toxic") > 0, 1).otherwise(0)).alias("toxic"))
     rows = dict(known.groupBy("toxic").count().collect())
     picked = [known.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class).select("doc_id", "toxic").collect() for c in (0, 1)]
-    chosen = spark.createDataFrame([tuple(r) for c in picked for r in c], "doc_id long, toxic int")  # 2 x per_class rows at most
+    ids, toxic = ([r[k] for c in picked for r in c] for k in ("doc_id", "toxic"))
+    chosen = small_table(spark, [pa.array(ids, pa.int64()), pa.array(toxic, pa.int32())], ["doc_id", "toxic"])  # 2 x per_class rows at most
     found = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
     sample = steps.put(found.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")), "toxicity-sample")
 

@@ -66,3 +66,18 @@ def test_workers_drop_what_the_last_operator_held():
 
 def test_empty_corpus(spark, write):
     assert cp.run(spark, write(documents=[], labels=[], benchmark=[])).count() == 0
+
+
+def test_lines_are_rebuilt_once(spark, write):
+    sf = build(write)[1]
+    got = cp.line_stage(spark, common.table(spark, sf, "documents"), sf)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("rebuild(") == 1 and "ArrowEvalPython" in plan
+
+
+def test_examples_need_no_worker_of_another_kind(spark, write, monkeypatch):
+    sf, plans = build(write)[1], []
+    keep = common.stored
+    monkeypatch.setattr(common, "stored", lambda df, name: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or keep(df, name))
+    cp.toxicity_stage(spark, common.table(spark, sf, "documents"), sf)
+    assert plans and not any("RDD" in p for p in plans)
